@@ -126,11 +126,11 @@ def current_state(
     ``key`` names image fields, ``order`` the columns giving the change order.
     Working on add/withdraw rows keeps updates that alter a key right.
     """
-    keyed = to_changelog(changes).select(
-        "*", *[F.col("image")[k].alias(f"_k{i}") for i, k in enumerate(key)]
-    )
     names = [f"_k{i}" for i in range(len(key))]
-    known = keyed.dropna(subset=names)
+    keyed = to_changelog(changes).withColumns(
+        {name: F.col("image")[k] for name, k in zip(names, key)}
+    )
+    known = keyed.dropna(subset=names).withColumn("image", F.when(F.col("is_add"), F.col("image")))
     newest = [F.col(c).desc() for c in order] + [F.col("is_add").desc()]
     return first_per_key(known, names, newest).where("is_add").drop("is_add", *names)
 

@@ -39,28 +39,27 @@ def consecutive_match(
     """
     width = max(slice_ms or within_ms * SLICES_PER_LIMIT, within_ms)
     starts = is_entry() if starts is None else starts
-    own = time_slice(F.col(ts), width)
+    own = time_slice(F.col("_ts"), width)
+    ahead = F.pmod(F.col("_ts"), F.lit(width)) < within_ms
     ties = [f"_o{i}" for i in range(len(tiebreak))]
-    events = pages.select(
-        F.col(key).alias("_key"),
-        F.col(ts).alias("_ts"),
-        *[F.col(c).alias(o) for c, o in zip(tiebreak, ties)],
-        starts.alias("_start"),
-        F.when(starts, F.struct(*[F.col(c) for c in pages.columns])).alias("_row"),
-        F.explode(
-            F.when(F.pmod(F.col(ts), F.lit(width)) < within_ms, F.array(own, own - 1))
-            .otherwise(F.array(own))
-        ).alias("_slice"),
-    ).withColumn("_row", F.when(F.col("_slice") == time_slice(F.col("_ts"), width), F.col("_row")))
+    events = pages.withColumns({
+        "_key": F.col(key),
+        "_ts": F.col(ts),
+        **{name: F.col(c) for name, c in zip(ties, tiebreak)},
+        "_start": starts,
+    }).withColumn("_slice", F.explode(F.when(ahead, F.array(own, own - 1)).otherwise(F.array(own))))
+    events = events.withColumn("_keep", F.col("_start") & (F.col("_slice") == own))
+    events = events.withColumns({c: F.when(F.col("_keep"), F.col(c)) for c in pages.columns})
 
     order = Window.partitionBy("_key", "_slice").orderBy("_ts", *ties)
     outcome = F.lit("match")
     for step in range(n - 1, 0, -1):
-        later = F.lead(F.struct("_ts", "_start"), step).over(order)
-        in_time = F.coalesce(later["_ts"] - F.col("_ts") < within_ms, F.lit(False))
-        outcome = F.when(~in_time, F.lit("timeout")).when(later["_start"], outcome)
+        gap = F.lead("_ts", step).over(order) - F.col("_ts")
+        in_time = F.coalesce(gap < within_ms, F.lit(False))
+        again = F.lead("_start", step).over(order)
+        outcome = F.when(~in_time, F.lit("timeout")).when(again, outcome)
     decided = events.withColumn("outcome", outcome)
-    return decided.where("_row is not null and outcome is not null").select("_row.*", "outcome")
+    return decided.where("_keep and outcome is not null").select(*pages.columns, "outcome")
 
 
 def detect(pages: DataFrame, within_ms: int = WITHIN_MS, **options) -> DataFrame:

@@ -68,18 +68,22 @@ def dirty(parsed: DataFrame, value: str = "value") -> DataFrame:
 
 
 def repair_is_new(
-    records: DataFrame, ts: str = "ts", tiebreak: Sequence[str] = ("seq",)
+    records: DataFrame,
+    ts: str = "ts",
+    tiebreak: Sequence[str] = ("seq",),
+    claims_from: DataFrame | None = None,
 ) -> DataFrame:
     """Keep ``is_new = '1'`` on each visitor's first claim, set later claims to ``'0'``.
 
     ``ts`` then ``tiebreak`` must tell a visitor's records apart.  The first claim
     is a map-side combined minimum; it meets the records again on the full
     (visitor, ts, tiebreak) key, so a hot visitor is never gathered in one task.
+    ``claims_from`` holds all records where ``records`` are only some of them.
     """
     order = [ts, *tiebreak]
     claims = F.col("common.is_new") == "1"
     firsts = (
-        records.where(claims)
+        (records if claims_from is None else claims_from).where(claims)
         .groupBy(F.col("common.mid").alias("_mid"))
         .agg(F.min(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])).alias("_f"))
         .select("_mid", "_f.*")
@@ -95,7 +99,7 @@ def repair_is_new(
 
 
 def is_start() -> Column:
-    return F.coalesce(F.length("start"), F.lit(0)) > 0
+    return F.col("start").isNotNull() & (F.col("start") != "")
 
 
 def start_logs(records: DataFrame) -> DataFrame:

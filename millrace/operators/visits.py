@@ -13,7 +13,8 @@ from millrace.operators.latest import first_per_key
 
 def is_entry(last_page_id: str = "page.last_page_id") -> Column:
     """No previous page: null or the empty text (a blank one is a page)."""
-    return F.coalesce(F.length(last_page_id), F.lit(0)) == 0
+    page = F.col(last_page_id)
+    return page.isNull() | (page == "")
 
 
 def unique_visits(

@@ -124,10 +124,7 @@ def consecutive_3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def visitor_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = logs.repair_is_new(a.pages(spark, sf_dir))
-    return stats.visitor_stats(
-        visits.unique_visits(pages), jumps.detect(pages, WITHIN_MS), pages, "1 day"
-    )
+    return stats.visitor_stats_of_logs(a.pages(spark, sf_dir), WITHIN_MS, "1 day")
 
 
 # Change data

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 
 class FirstClaim(StatefulProcessor):
-    """Sets ``is_new`` to "0" on all but a key's first claim.
+    """Keeps ``is_new`` "1" on a key's first claim and sets it to "0" on all others.
 
     Holds one candidate row at a time, however many rows the key has.
     """
@@ -29,15 +29,12 @@ class FirstClaim(StatefulProcessor):
         seen = self._seen.exists()
         best = None
         for frame in rows:
-            claims = frame["is_new"] == "1"
-            if not seen and claims.any():
-                pool = [frame[claims]] if best is None else [best, frame[claims]]
-                ranked = pd.concat(pool).sort_values(self._order)
-                best = ranked.head(1)
-                frame = pd.concat([ranked.iloc[1:], frame[~claims]])
-                claims = frame["is_new"] == "1"
+            if not seen and len(frame):
+                pool = frame if best is None else pd.concat([best, frame])
+                ranked = pool.sort_values(self._order)
+                best, frame = ranked.head(1), ranked.iloc[1:]
             if len(frame):
-                yield frame.assign(is_new=frame["is_new"].mask(claims, "0"))
+                yield frame.assign(is_new="0")
         if best is not None:
             self._seen.update((int(best["ts"].iloc[0]),))
             yield best

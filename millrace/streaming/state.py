@@ -40,9 +40,13 @@ def _ddl(ties) -> str:
 def repair_is_new_stream(
     records: DataFrame, ts: str = "ts", tiebreak: Sequence[str] = ("seq",)
 ) -> DataFrame:
-    """Keep ``is_new = '1'`` on a visitor's first claim ever, set later ones to ``'0'``."""
+    """Keep ``is_new = '1'`` on a visitor's first claim ever, set later ones to ``'0'``.
+
+    Only claims go through the keyed state; other records stay where they are.
+    """
     order, ties = _ordered(records, ts, tiebreak)
-    flat = records.select(
+    claim = F.col("common.is_new").eqNullSafe("1")
+    flat = records.where(claim).select(
         F.col("common.mid").alias("mid"), *order,
         F.col("common.is_new").alias("is_new"), _body(records).alias("body"),
     )
@@ -51,12 +55,10 @@ def repair_is_new_stream(
     out = flat.groupBy("mid").transformWithStateInPandas(
         FirstClaim(names), layout, "append", "none"
     )
-    return _restore(out, records, "is_new").select(
-        *[
-            F.col("common").withField("is_new", F.col("is_new")).alias(c) if c == "common" else c
-            for c in records.columns
-        ]
-    )
+    decided = _restore(out, records, "is_new")
+    common = F.col("common").withField("is_new", F.col("is_new"))
+    decided = decided.withColumn("common", common).select(*records.columns)
+    return decided.unionByName(records.where(~claim))
 
 
 def unique_visits_stream(
