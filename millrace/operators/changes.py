@@ -59,6 +59,13 @@ def normalize(
     )
 
 
+def parse_records(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Raw change-feed texts (``topic, op, before, after``) to columns."""
+    layout = "topic string, op string, before map<string,string>, after map<string,string>"
+    kept = [c for c in lines.columns if c != value]
+    return lines.select(*kept, F.from_json(value, layout).alias("_r")).select(*kept, "_r.*")
+
+
 def parse_envelopes(lines: DataFrame, value: str = "value") -> DataFrame:
     """Envelope texts to columns."""
     kept = [c for c in lines.columns if c != value]

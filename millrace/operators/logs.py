@@ -110,6 +110,13 @@ def page_logs(records: DataFrame) -> DataFrame:
     return records.where(~is_start())
 
 
+def _display(item: Column, page_id: Column) -> Column:
+    """A display item with its page's id."""
+    others = F.map_filter(item, lambda k, _: k != "page_id")
+    owner = F.when(page_id.isNotNull(), F.create_map(F.lit("page_id"), page_id))
+    return F.coalesce(F.map_concat(others, owner), others)
+
+
 def display_logs(records: DataFrame, with_common: bool = False) -> DataFrame:
     """One row per display of a page log: the item's fields plus ``page_id``.
 
@@ -118,7 +125,30 @@ def display_logs(records: DataFrame, with_common: bool = False) -> DataFrame:
     items = page_logs(records).select(
         F.col("page.page_id").alias("_page"), "common", "ts", F.explode("displays").alias("_item")
     )
-    page_id = F.when(F.col("_page").isNotNull(), F.create_map(F.lit("page_id"), F.col("_page")))
-    others = F.map_filter("_item", lambda k, _: k != "page_id")
-    display = F.coalesce(F.map_concat(others, page_id), others).alias("display")
+    display = _display(F.col("_item"), F.col("_page")).alias("display")
     return items.select(display, *(["common", "ts"] if with_common else []))
+
+
+# Topics of the split.
+START_TOPIC = "dwd_start_log"
+PAGE_TOPIC = "dwd_page_log"
+DISPLAY_TOPIC = "dwd_display_log"
+
+
+def split_lines(records: DataFrame, fields: Sequence[str] = tuple(ODS_LOG.names)) -> DataFrame:
+    """The three-way split in one pass: ``topic, value`` rows of all three sides."""
+    none = F.lit(None).cast("map<string,string>")
+    entry = lambda topic, item: F.struct(F.lit(topic).alias("topic"), item.alias("item"))
+    shown = F.transform(
+        F.coalesce("displays", F.array().cast("array<map<string,string>>")),
+        lambda item: entry(DISPLAY_TOPIC, item),
+    )
+    targets = F.when(is_start(), F.array(entry(START_TOPIC, none))).otherwise(
+        F.concat(F.array(entry(PAGE_TOPIC, none)), shown)
+    )
+    rows = records.select(*fields, F.explode(targets).alias("_to")).select(*fields, "_to.*")
+    display = F.to_json(_display(F.col("item"), F.col("page.page_id")))
+    whole = F.to_json(F.struct(*fields))
+    return rows.select(
+        "topic", F.when(F.col("topic") == DISPLAY_TOPIC, display).otherwise(whole).alias("value")
+    )

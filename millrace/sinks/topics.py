@@ -50,14 +50,16 @@ def to_topic(topics: Topics, topic: str, writer: str) -> Callable[[DataFrame, in
 
 
 def write_topic_stream(
-    topics: Topics, stream: DataFrame, topic: str, checkpoint: str, trigger: dict | None = None
+    topics: Topics,
+    stream: DataFrame,
+    topic: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    close_windows: bool = True,
 ) -> StreamingQuery:
     """Write a stream as JSON texts to one topic."""
-    if topics.backend == "kafka":
-        writer = to_lines(stream).writeStream.format("kafka").options(**topics.options)
-        writer = writer.option("topic", topic).option("checkpointLocation", checkpoint)
-        return (writer.trigger(**trigger) if trigger else writer).start()
-    return start_batches(stream, to_topic(topics, topic, topic), checkpoint, trigger)
+    write = to_topic(topics, topic, topic)
+    return start_batches(stream, write, checkpoint, trigger, topic, close_windows)
 
 
 def print_stream(stream: DataFrame, label: str, checkpoint: str) -> StreamingQuery:

@@ -1,7 +1,8 @@
 """Named topics on Kafka or in a directory.
 
-A record is one text ``value``; ``src`` and ``off`` (partition and offset, or file
-and row) tell records of equal time apart.
+A record is one text ``value``, the time ``stored_ms`` it was stored at, and its
+position: partition and offset on Kafka; modification time, file and row in a
+directory.  Positions order a key's records and tell records of equal time apart.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+POSITION = ("src", "part", "off")
+
+
 @dataclass(frozen=True)
 class Start:
     """Where reading begins: ``initial``, ``latest``, ``timestamp`` or ``offsets``."""
@@ -70,7 +74,9 @@ class Topics:
             rows = reader.format("kafka").options(**self.options, **options)
             return rows.option("subscribe", topic).load().select(
                 F.col("value").cast("string").alias("value"),
-                F.col("partition").cast("bigint").alias("src"),
+                F.unix_millis("timestamp").alias("stored_ms"),
+                F.lit(0).cast("bigint").alias("src"),
+                F.col("partition").cast("bigint").alias("part"),
                 F.col("offset").alias("off"),
             )
         return self._file_records(reader, topic, start)
@@ -87,9 +93,12 @@ class Topics:
             position = F.col("_metadata.row_index")
         else:
             position = F.xxhash64("value")
+        stored = F.unix_millis("_metadata.file_modification_time")
         return rows.select(
             "value",
-            F.xxhash64("_metadata.file_path").alias("src"),
+            stored.alias("stored_ms"),
+            stored.alias("src"),
+            F.xxhash64("_metadata.file_path").alias("part"),
             position.alias("off"),
         )
 

@@ -1,0 +1,163 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.jobs import changes, logs, orders, run
+from millrace.operators import orders as order_ops
+from millrace.sources.topics import Topics
+from millrace.sinks.topics import write_routed
+
+
+@pytest.fixture
+def topics(spark, tmp_path):
+    return Topics(spark, str(tmp_path / "topics"))
+
+
+def put(topics, topic, *records, batch=0):
+    texts = [r if isinstance(r, str) else json.dumps(r) for r in records]
+    lines = topics.spark.createDataFrame([(topic, t) for t in texts], "topic string, value string")
+    write_routed(topics, lines.coalesce(1), "put", batch)
+
+
+def get(topics, topic):
+    return sorted(
+        (json.loads(r.value) for r in topics.read(topic).collect()),
+        key=lambda r: json.dumps(r, sort_keys=True),
+    )
+
+
+def drain(topics, tmp_path, job, *flags):
+    args = run.arguments([job, "--checkpoint", str(tmp_path / "ck"), "--root", "unused", *flags])
+    for query in run.start(args, topics):
+        assert query.awaitTermination(300)
+
+
+def log(mid, second, last=None, is_new="0", **more):
+    page = {"page_id": "p1", "during_time": 10}
+    if last is not None:
+        page["last_page_id"] = last
+    return {
+        "common": {"mid": mid, "is_new": is_new, "vc": "v", "ch": "c", "ar": "a"},
+        "page": page, "ts": second * 1000, **more,
+    }
+
+
+def test_log_stages(spark, topics, tmp_path):
+    put(
+        topics, "ods_base_log",
+        log("a", 1, is_new="1", displays=[{"item": "i1"}, {"item": "i2"}]),
+        log("a", 4, is_new="1"), log("a", 5, "p0"), log("b", 3), log("z", 100),
+        log("s", 2, start={"entry": "icon"}), "broken{", '{"x":1}',
+    )
+    drain(topics, tmp_path, "split_logs")
+    assert sorted(r.value for r in topics.read("dirty_log").collect()) == ["broken{", '{"x":1}']
+    assert get(topics, "dwd_display_log") == [
+        {"item": "i1", "page_id": "p1"}, {"item": "i2", "page_id": "p1"}
+    ]
+    [started] = get(topics, "dwd_start_log")
+    assert json.loads(started["start"]) == {"entry": "icon"}
+    flags = {(r["common"]["mid"], r["ts"]): r["common"]["is_new"] for r in get(topics, "dwd_page_log")}
+    assert flags == {
+        ("a", 1000): "1", ("a", 4000): "0", ("a", 5000): "0", ("b", 3000): "0", ("z", 100_000): "0"
+    }
+
+    drain(topics, tmp_path, "unique_visits")
+    drain(topics, tmp_path, "user_jumps")
+    times = lambda topic: [(r["common"]["mid"], r["ts"] // 1000) for r in get(topics, topic)]
+    assert sorted(times("dwm_unique_visit")) == [("a", 1), ("b", 3), ("z", 100)]
+    assert sorted(times("dwm_user_jump_detail")) == [("a", 1), ("b", 3)]
+
+    drain(topics, tmp_path, "visitor_stats", "--out", str(tmp_path / "stats"))
+    rows = spark.read.parquet(str(tmp_path / "stats")).where("stt like '%00:00:00'").collect()
+    counts = {r.is_new: (r.uv_ct, r.pv_ct, r.sv_ct, r.uj_ct, r.dur_sum) for r in rows}
+    assert counts == {"1": (1, 1, 1, 1, 10), "0": (1, 3, 2, 1, 30)}
+
+    drain(topics, tmp_path, "split_logs")
+    assert len(get(topics, "dwd_page_log")) == 5
+
+
+RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk"]
+
+
+def rule(*values):
+    image = dict(zip(RULE_FIELDS, values))
+    return {"database": "gmall_realtime", "tableName": "table_process", "before": {},
+            "after": image, "type": "insert"}
+
+
+def test_change_stages(spark, topics, tmp_path):
+    put(
+        topics, "table_process",
+        rule("order_info", "insert", "kafka", "dwd_order_info", "id,user_id"),
+        rule("user_info", "insert", "hbase", "dim_user_info", "id,name", "id"),
+        rule("user_info", "update", "hbase", "dim_user_info", "id,name", "id"),
+    )
+    record = lambda table, op, before, after: {
+        "topic": f"srv.gmall.{table}", "op": op, "before": before, "after": after
+    }
+    put(
+        topics, "change_records",
+        record("order_info", "c", None, {"id": 1, "user_id": 7, "secret": "s"}),
+        record("user_info", "c", None, {"id": 7, "name": "old", "secret": "s"}),
+        record("user_info", "u", {"id": 7, "name": "old"}, {"id": 7, "name": "new"}),
+        record("user_info", "d", {"id": 8, "name": "gone"}, None),
+        record("nowhere", "c", None, {"id": 1}),
+    )
+    drain(topics, tmp_path, "normalize_feed")
+    assert len(get(topics, "ods_base_db")) == 5
+    dims = str(tmp_path / "dims")
+    drain(topics, tmp_path, "route_changes", "--dims", dims)
+    assert get(topics, "dwd_order_info") == [{"id": "1", "user_id": "7"}]
+    table = changes.DimensionTable.from_rule(
+        spark, dims, {"sink_table": "dim_user_info", "sink_columns": "id,name", "sink_pk": "id",
+                      "sink_extend": None},
+    )
+    assert [tuple(r) for r in table.read().collect()] == [("7", "new")]
+
+    drain(topics, tmp_path, "changelog", "--table", "user_info", "--out", "user_log")
+    assert sorted((r["is_add"], r["image"]["name"]) for r in get(topics, "user_log")) == [
+        (False, "gone"), (False, "old"), (True, "new"), (True, "old")
+    ]
+
+
+def dim_tables(spark):
+    texts = lambda names, row: spark.createDataFrame([row], ", ".join(f"{n} string" for n in names.split()))
+    return {
+        order_ops.USER: texts("ID GENDER BIRTHDAY", ("9", "F", "2000-01-01")),
+        order_ops.PROVINCE: texts("ID NAME AREA_CODE ISO_CODE ISO_3166_2", ("3", "P", "A", "I", "J")),
+        order_ops.SKU: texts("ID SKU_NAME SPU_ID TM_ID CATEGORY3_ID", ("5", "dim's", "50", "51", "52")),
+        order_ops.SPU: texts("ID SPU_NAME", ("50", "S")),
+        order_ops.TRADEMARK: texts("ID TM_NAME", ("51", "T")),
+        order_ops.CATEGORY3: texts("ID NAME", ("52", "C")),
+    }
+
+
+def test_order_stages(spark, topics, tmp_path):
+    at = lambda s: f"2020-01-01 08:00:{s:02d}"
+    put(topics, "dwd_order_info", {"id": 1, "province_id": 3, "user_id": 9, "create_time": at(10)})
+    put(
+        topics, "dwd_order_detail",
+        {"id": 11, "order_id": 1, "sku_id": 5, "create_time": at(5)},
+        {"id": 12, "order_id": 1, "sku_id": 6, "sku_name": "own", "create_time": at(15)},
+        {"id": 13, "order_id": 1, "sku_id": 5, "create_time": at(16)},
+    )
+    now = {"availableNow": True}
+    for query in orders.order_wide(topics, lambda: dim_tables(spark), str(tmp_path / "o"), now):
+        query.awaitTermination()
+    wide = get(topics, "dwm_order_wide")
+    assert sorted((r["detail_id"], r.get("sku_name"), r.get("spu_name")) for r in wide) == [
+        (11, "dim's", "S"), (12, "own", None)
+    ]
+    put(topics, "dwd_payment_info", {"id": 70, "order_id": 1, "total_amount": 5, "create_time": at(12)})
+    drain(topics, tmp_path, "payment_wide")
+    paid = get(topics, "dwm_payment_wide")
+    assert sorted((r["payment_id"], r["detail_id"], r["total_amount"]) for r in paid) == [
+        (70, 11, 5.0), (70, 12, 5.0)
+    ]
+
+
+def test_dimension_reader_names_what_is_missing(spark, topics, tmp_path):
+    put(topics, "table_process", rule("user_info", "insert", "hbase", "dim_user_info", "id,gender", "id"))
+    with pytest.raises(ValueError, match="DIM_BASE_PROVINCE"):
+        run.dimension_reader(topics, "table_process", str(tmp_path / "dims"))()
