@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Text layouts of the warehouse.
 DATE_FORMAT = "yyyy-MM-dd"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_SHAPE = "____-__-__ __:__:__"
 
 YEAR_MS = 365 * 24 * 60 * 60 * 1000
 
@@ -23,8 +24,11 @@ def create_hour(text: Column) -> Column:
 
 
 def to_epoch_ms(text: Column) -> Column:
-    """Epoch milliseconds of a date-time text; null where it does not parse."""
-    return F.unix_millis(F.try_to_timestamp(text, F.lit(TIME_FORMAT)))
+    """Epoch milliseconds of a date-time text; null where it does not parse.
+
+    A cast behind a check of the layout: much cheaper than parsing by pattern.
+    """
+    return F.when(text.like(TIME_SHAPE), F.unix_millis(text.try_cast("timestamp")))
 
 
 def to_epoch_ms_or(text: Column, fallback_ms: Column) -> Column:

@@ -114,15 +114,16 @@ def to_changelog(changes: DataFrame) -> DataFrame:
 
     An update withdraws its old image and adds its new one.
     """
-    withdraw = F.struct(F.lit(False).alias("is_add"), F.col("before").alias("image"))
-    add = F.struct(F.lit(True).alias("is_add"), F.col("after").alias("image"))
     steps = (
-        F.when(F.col("type").isin("insert", "read"), F.array(add))
-        .when(F.col("type") == "update", F.array(withdraw, add))
-        .when(F.col("type") == "delete", F.array(withdraw))
+        F.when(F.col("type").isin("insert", "read"), F.array(F.lit(True)))
+        .when(F.col("type") == "update", F.array(F.lit(False), F.lit(True)))
+        .when(F.col("type") == "delete", F.array(F.lit(False)))
     )
     kept = [c for c in changes.columns if c not in ("before", "after", "type")]
-    return changes.select(*kept, F.explode(steps).alias("_s")).select(*kept, "_s.*")
+    image = F.when(F.col("is_add"), F.col("after")).otherwise(F.col("before"))
+    return changes.withColumn("is_add", F.explode(steps)).select(
+        *kept, "is_add", image.alias("image")
+    )
 
 
 def current_state(

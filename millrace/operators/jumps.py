@@ -14,7 +14,7 @@ SLICES_PER_LIMIT = 60
 
 
 def time_slice(ts: Column, width_ms: int) -> Column:
-    return F.call_function("div", ts - F.pmod(ts, F.lit(width_ms)), F.lit(width_ms))
+    return F.floor(ts / F.lit(width_ms))
 
 
 def consecutive_match(
