@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def parse_typed(lines: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """JSON texts to the columns of ``schema``; other columns of ``lines`` are kept."""
+def parse_typed(
+    lines: DataFrame,
+    schema: StructType,
+    value: str = "value",
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """JSON texts to the columns of ``schema``; other columns of ``lines`` are kept.
+
+    A text that does not parse gives nulls.  The fields come out of a generator so
+    that each text is parsed once: filters on them stay above it instead of parsing
+    the text again for every condition.
+    """
     kept = [c for c in lines.columns if c != value]
-    parsed = lines.select(*kept, F.from_json(F.col(value), schema).alias("_r"))
-    return parsed.select(*kept, "_r.*")
+    record = F.from_json(F.col(value), schema, dict(options or {}))
+    return lines.select(*kept, F.inline(F.array(record)))
 
 
 def to_lines(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

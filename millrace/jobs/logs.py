@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from millrace.functions.records import parse_typed
 from millrace.operators import logs
@@ -23,19 +24,25 @@ VISITS = "dwm_unique_visit"
 JUMPS = "dwm_user_jump_detail"
 
 
-def _page_stream(topics: Topics, topic: str, files_per_batch: int | None) -> DataFrame:
-    return parse_typed(topics.read_stream(topic, files_per_batch=files_per_batch), ODS_LOG)
+def _page_stream(
+    topics: Topics, topic: str, files_per_batch: int | None, schema: StructType = ODS_LOG
+) -> DataFrame:
+    return parse_typed(topics.read_stream(topic, files_per_batch=files_per_batch), schema)
 
 
 def split_logs(
-    topics: Topics, checkpoint: str, trigger: dict | None = None, files_per_batch: int | None = None
+    topics: Topics, checkpoint: str, trigger: dict | None = None,
+    files_per_batch: int | None = None, schema: StructType = ODS_LOG,
 ) -> list[StreamingQuery]:
-    """Raw logs to start, page and display topics; malformed texts to their own."""
+    """Raw logs to start, page and display topics; malformed texts to their own.
+
+    Here and in the next stages, ``schema`` names the log fields that are carried on.
+    """
     def parsed():
-        return logs.parse(topics.read_stream(ODS, files_per_batch=files_per_batch))
+        return logs.parse(topics.read_stream(ODS, files_per_batch=files_per_batch), schema=schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_routed(topics, logs.split_lines(batch), "split_logs", batch_id)
+        write_routed(topics, logs.split_lines(batch, schema.names), "split_logs", batch_id)
 
     def write_dirty(batch: DataFrame, batch_id: int) -> None:
         write_routed(topics, batch.withColumn("topic", F.lit(DIRTY)), "dirty_logs", batch_id)
@@ -50,27 +57,29 @@ def split_logs(
 def unique_visits(
     topics: Topics, checkpoint: str, trigger: dict | None = None,
     files_per_batch: int | None = None, ttl_ms: int | None = state.DAY_MS,
+    schema: StructType = ODS_LOG,
 ) -> list[StreamingQuery]:
     """Page logs to daily unique visits; visitors are forgotten after ``ttl_ms``."""
-    pages = _page_stream(topics, logs.PAGE_TOPIC, files_per_batch)
+    pages = _page_stream(topics, logs.PAGE_TOPIC, files_per_batch, schema)
     found = state.unique_visits_stream(pages, tiebreak=POSITION, ttl_ms=ttl_ms)
     return [
         write_topic_stream(
-            topics, found.select(*ODS_LOG.names), VISITS, f"{checkpoint}/visits", trigger,
+            topics, found.select(*schema.names), VISITS, f"{checkpoint}/visits", trigger,
             close_windows=False,
         )
     ]
 
 
 def user_jumps(
-    topics: Topics, checkpoint: str, trigger: dict | None = None, files_per_batch: int | None = None
+    topics: Topics, checkpoint: str, trigger: dict | None = None,
+    files_per_batch: int | None = None, schema: StructType = ODS_LOG,
 ) -> list[StreamingQuery]:
     """Page logs to bounces."""
-    pages = _page_stream(topics, logs.PAGE_TOPIC, files_per_batch)
+    pages = _page_stream(topics, logs.PAGE_TOPIC, files_per_batch, schema)
     found = state.jumps_stream(pages, tiebreak=POSITION)
     return [
         write_topic_stream(
-            topics, found.select(*ODS_LOG.names), JUMPS, f"{checkpoint}/jumps", trigger
+            topics, found.select(*schema.names), JUMPS, f"{checkpoint}/jumps", trigger
         )
     ]
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from millrace.functions.records import parse_typed
 from millrace.operators.latest import first_per_key
-from millrace.schemas import CDC_ENVELOPE
+from millrace.schemas import CDC_ENVELOPE, CDC_RECORD
 
 # One-letter operation codes of change-feed records.
 OP_CODES = {"c": "create", "u": "update", "d": "delete", "r": "read"}
@@ -61,16 +62,12 @@ def normalize(
 
 def parse_records(lines: DataFrame, value: str = "value") -> DataFrame:
     """Raw change-feed texts (``topic, op, before, after``) to columns."""
-    layout = "topic string, op string, before map<string,string>, after map<string,string>"
-    kept = [c for c in lines.columns if c != value]
-    return lines.select(*kept, F.from_json(value, layout).alias("_r")).select(*kept, "_r.*")
+    return parse_typed(lines, CDC_RECORD, value)
 
 
 def parse_envelopes(lines: DataFrame, value: str = "value") -> DataFrame:
     """Envelope texts to columns."""
-    kept = [c for c in lines.columns if c != value]
-    parsed = lines.select(*kept, F.from_json(value, CDC_ENVELOPE).alias("_r"))
-    return parsed.select(*kept, "_r.*")
+    return parse_typed(lines, CDC_ENVELOPE, value)
 
 
 def drop_deletes(changes: DataFrame) -> DataFrame:

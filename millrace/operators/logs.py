@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
 
+from millrace.functions.records import parse_typed
 from millrace.schemas import ODS_LOG
 
 _CORRUPT = "_corrupt"
@@ -40,21 +41,27 @@ def parse(
 ) -> DataFrame:
     """Log texts to records, with ``is_dirty`` set on texts that are none.
 
-    Dirty: not JSON, wrongly typed, or without ``common.mid``.  The text and the
-    other columns of ``lines`` are kept.  Pass a wider ``schema`` to carry more fields.
+    Dirty: not one JSON object, wrongly typed, or without ``common.mid``.  The text
+    and the other columns of ``lines`` are kept.  Pass a wider ``schema`` to carry
+    more fields.  The text is parsed as a field followed by a mark, so that anything
+    after the object shows instead of being passed over.
     """
-    raw = _numbers_as_text(schema).add(_CORRUPT, StringType())
+    wrapper = StructType().add("_record", _numbers_as_text(schema)).add("_end", StringType())
+    wrapper = wrapper.add(_CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = lines.withColumn("_r", F.from_json(F.col(value), raw, options))
-    record = F.col("_r")
-    dirty = (
-        record.isNull()
-        | record[_CORRUPT].isNotNull()
+    wrapped = lines.withColumn(
+        "_text", F.concat(F.lit('{"_record":'), F.col(value), F.lit(',"_end":"."}'))
+    )
+    parsed = parse_typed(wrapped, wrapper, "_text", options)
+    record = F.col("_record")
+    is_dirty = (
+        F.col(_CORRUPT).isNotNull()
+        | F.col("_end").isNull()
         | record["common"]["mid"].isNull()
         | (record["ts"].isNotNull() & record["ts"].try_cast("bigint").isNull())
     )
     fields = [_typed(record[f.name], f.dataType).alias(f.name) for f in schema.fields]
-    return parsed.select(*lines.columns, *fields, dirty.alias("is_dirty"))
+    return parsed.select(*lines.columns, *fields, is_dirty.alias("is_dirty"))
 
 
 def good(parsed: DataFrame, value: str = "value") -> DataFrame:

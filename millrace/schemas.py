@@ -44,6 +44,10 @@ ODS_LOG = (
     .add("ts", LongType())
 )
 
+CDC_RECORD = _struct(
+    "topic string, op string, before map<string,string>, after map<string,string>"
+)
+
 CDC_ENVELOPE = _struct(
     "database string, tableName string, before map<string,string>, "
     "after map<string,string>, type string"

@@ -82,7 +82,7 @@ RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_
 
 def rule(*values):
     image = dict(zip(RULE_FIELDS, values))
-    return {"database": "gmall_realtime", "tableName": "table_process", "before": {},
+    return {"database": "config", "tableName": "table_process", "before": {},
             "after": image, "type": "insert"}
 
 
@@ -94,7 +94,7 @@ def test_change_stages(spark, topics, tmp_path):
         rule("user_info", "update", "hbase", "dim_user_info", "id,name", "id"),
     )
     record = lambda table, op, before, after: {
-        "topic": f"srv.gmall.{table}", "op": op, "before": before, "after": after
+        "topic": f"srv.shop.{table}", "op": op, "before": before, "after": after
     }
     put(
         topics, "change_records",

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from helpers import page, page_schema, pages
 from pyspark.sql import functions as F
 
@@ -16,6 +17,21 @@ def test_dirty_texts_are_split_off(spark):
     assert sorted(r.value or "" for r in logs.dirty(parsed).collect()) == ["", "broken{", '{"x":1}']
 
 
+@pytest.mark.parametrize("text", [
+    '{"common":{"mid":"a"}} tail', '{"common":{"mid":"a"}}}', '{"common":{"mid":"a"}}{"x":1}',
+    '{"common":{"mid":"a"}},{"common":{"mid":"b"}}', '[{"common":{"mid":"a"}}]', '"a"', "12",
+    "null", "", '{"common":"a"}', '{"common":{"mid":"a"},"displays":{"x":1}}', '{"common":{"mid":',
+])
+def test_anything_but_one_object_is_dirty(spark, text):
+    parsed = logs.parse(lines(spark, text))
+    assert logs.good(parsed).count() == 0
+    assert [r.value for r in logs.dirty(parsed).collect()] == [text]
+
+
+def test_blanks_around_a_record_do_no_harm(spark):
+    assert logs.good(logs.parse(lines(spark, '  {"common":{"mid":7}}\t'))).first().common.mid == "7"
+
+
 def test_wrongly_typed_time_is_dirty_and_quoted_number_is_not(spark):
     parsed = logs.parse(lines(
         spark, '{"common":{"mid":"a"},"ts":"17"}', '{"common":{"mid":"a"},"ts":"soon"}',

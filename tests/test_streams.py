@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import jumps, logs, visits
 from millrace.operators.joins import interval_join
+from millrace.sources.topics import delimited
 from millrace.streaming import state
 from millrace.streaming.joins import interval_join_stream
 from millrace.streaming.runner import late_rows, run_to_table, start_batches
@@ -108,6 +109,20 @@ def test_deduplicated_visits(feed):
     assert seen(feed.run(state.unique_visits_dedup_stream)) == [("a", 1.0), ("a", DAY + 1.0)]
 
 
+def test_delimited_streams_joined_on_seconds(spark, tmp_path):
+    for side, text in (("l", "1,ann,100\n2,bob,100\n"), ("r", "1,f,105\n1,m,106\n2,m,95\n")):
+        (tmp_path / side).mkdir()
+        (tmp_path / side / "a.csv").write_text(text)
+    read = lambda side, name: delimited(
+        spark, str(tmp_path / side), f"id string, {name} string, s bigint", streaming=True
+    ).withColumn("ts", F.col("s") * 1000)
+    joined = interval_join_stream(
+        read("l", "name"), read("r", "sex"), [("id", "id")], "ts", "ts", -5_000, 5_000
+    )
+    got = run_to_table(joined.select("l.name", "r.sex"), "demo", str(tmp_path / "run"))
+    assert sorted(map(tuple, got.collect())) == [("ann", "f"), ("bob", "m")]
+
+
 def test_first_claim_across_batches(feed):
     feed.add(page("a", 1, is_new="0"), page("a", 3, is_new="1"), page("a", 2, is_new="1"))
     feed.add(page("a", 4, is_new="1"), page("b", 5, is_new="1"), page("c", 6, is_new=None))
