@@ -155,7 +155,9 @@ def split_lines(records: DataFrame, fields: Sequence[str] = tuple(ODS_LOG.names)
     )
     rows = records.select(*fields, F.explode(targets).alias("_to")).select(*fields, "_to.*")
     display = F.to_json(_display(F.col("item"), F.col("page.page_id")))
-    whole = F.to_json(F.struct(*fields))
+    # An object under `start` is written as one again, a plain text as text.
+    start = F.coalesce(F.try_parse_json("start"), F.col("start").cast("variant")).alias("start")
+    whole = F.to_json(F.struct(*[start if c == "start" else c for c in fields]))
     return rows.select(
         "topic", F.when(F.col("topic") == DISPLAY_TOPIC, display).otherwise(whole).alias("value")
     )

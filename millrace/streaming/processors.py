@@ -16,7 +16,8 @@ from pyspark.sql.streaming import StatefulProcessor
 class FirstClaim(StatefulProcessor):
     """Keeps ``is_new`` "1" on a key's first claim and sets it to "0" on all others.
 
-    Holds one candidate row at a time, however many rows the key has.
+    Holds one candidate row at a time, however many rows the key has.  Rows already
+    set to "0" by an earlier round pass.
     """
 
     def __init__(self, order):
@@ -29,10 +30,12 @@ class FirstClaim(StatefulProcessor):
         seen = self._seen.exists()
         best = None
         for frame in rows:
-            if not seen and len(frame):
-                pool = frame if best is None else pd.concat([best, frame])
+            claims = frame[frame["is_new"] == "1"]
+            if not seen and len(claims):
+                pool = claims if best is None else pd.concat([best, claims])
                 ranked = pool.sort_values(self._order)
-                best, frame = ranked.head(1), ranked.iloc[1:]
+                best = ranked.head(1)
+                frame = pd.concat([ranked.iloc[1:], frame[frame["is_new"] != "1"]])
             if len(frame):
                 yield frame.assign(is_new="0")
         if best is not None:

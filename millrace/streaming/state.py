@@ -38,23 +38,39 @@ def _ddl(ties) -> str:
 
 
 def repair_is_new_stream(
-    records: DataFrame, ts: str = "ts", tiebreak: Sequence[str] = ("seq",)
+    records: DataFrame,
+    ts: str = "ts",
+    tiebreak: Sequence[str] = ("seq",),
+    lanes: int = 1,
 ) -> DataFrame:
     """Keep ``is_new = '1'`` on a visitor's first claim ever, set later ones to ``'0'``.
 
-    Only claims go through the keyed state; other records stay where they are.
+    Only claims go through the keyed state; other records stay where they are.  With
+    ``lanes`` over 1 a visitor's claims are first decided per lane of input
+    partitions, and only each lane's first meets the others: for feeds in which one
+    visitor claims to be new very often.
     """
     order, ties = _ordered(records, ts, tiebreak)
     claim = F.col("common.is_new").eqNullSafe("1")
-    flat = records.where(claim).select(
-        F.col("common.mid").alias("mid"), *order,
-        F.col("common.is_new").alias("is_new"), _body(records).alias("body"),
-    )
     names = ["ts", *[name for name, _ in ties]]
-    layout = f"mid string, {_ddl(ties)}is_new string, body string"
-    out = flat.groupBy("mid").transformWithStateInPandas(
-        FirstClaim(names), layout, "append", "none"
+    keys = ["mid", "lane"] if lanes > 1 else ["mid"]
+    layout = f"{'mid string, lane int, ' if lanes > 1 else 'mid string, '}{_ddl(ties)}is_new string, body string"
+
+    def decide(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).transformWithStateInPandas(
+            FirstClaim(names), layout, "append", "none"
+        )
+
+    flat = records.where(claim).select(
+        F.col("common.mid").alias("mid"),
+        *([(F.spark_partition_id() % lanes).alias("lane")] if lanes > 1 else []),
+        *order, F.col("common.is_new").alias("is_new"), _body(records).alias("body"),
     )
+    out = decide(flat)
+    if lanes > 1:
+        # Each lane's first claim goes to the visitor's common lane, the rest stays spread.
+        first = F.col("is_new") == "1"
+        out = decide(out.withColumn("lane", F.when(first, -1).otherwise(F.col("lane"))))
     decided = _restore(out, records, "is_new")
     common = F.col("common").withField("is_new", F.col("is_new"))
     decided = decided.withColumn("common", common).select(*records.columns)

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from millrace.jobs import changes, logs, orders, run
 from millrace.operators import orders as order_ops
-from millrace.sources.topics import Topics
+from millrace.operators.changes import current_state
+from millrace.sources.changefeed import table_feed
+from millrace.sources.topics import POSITION, Topics
 from millrace.sinks.topics import write_routed
 
 
@@ -56,7 +58,7 @@ def test_log_stages(spark, topics, tmp_path):
         {"item": "i1", "page_id": "p1"}, {"item": "i2", "page_id": "p1"}
     ]
     [started] = get(topics, "dwd_start_log")
-    assert json.loads(started["start"]) == {"entry": "icon"}
+    assert started["start"] == {"entry": "icon"}
     flags = {(r["common"]["mid"], r["ts"]): r["common"]["is_new"] for r in get(topics, "dwd_page_log")}
     assert flags == {
         ("a", 1000): "1", ("a", 4000): "0", ("a", 5000): "0", ("b", 3000): "0", ("z", 100_000): "0"
@@ -121,6 +123,18 @@ def test_change_stages(spark, topics, tmp_path):
     ]
 
 
+def test_table_feed_starts_with_the_table(spark, topics):
+    later = {"database": "shop", "tableName": "tm", "before": {"id": "2"}, "after": {}, "type": "delete"}
+    put(topics, "ods_base_db", later, {**later, "tableName": "other"})
+    snapshot = spark.createDataFrame([(1, "A"), (2, "B")], "id int, name string")
+    feed = table_feed(topics, "ods_base_db", "shop", "tm", snapshot)
+    assert sorted((r.type, r.src is None) for r in feed.collect()) == [
+        ("delete", False), ("read", True), ("read", True)
+    ]
+    state = current_state(feed, ["id"], POSITION)
+    assert [r.image for r in state.collect()] == [{"id": "1", "name": "A"}]
+
+
 def dim_tables(spark):
     texts = lambda names, row: spark.createDataFrame([row], ", ".join(f"{n} string" for n in names.split()))
     return {

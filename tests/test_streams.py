@@ -109,6 +109,12 @@ def test_deduplicated_visits(feed):
     assert seen(feed.run(state.unique_visits_dedup_stream)) == [("a", 1.0), ("a", DAY + 1.0)]
 
 
+def test_deduplicated_visits_across_lanes(feed):
+    feed.add(*[page("a", i, "E") for i in range(1, 30)]).add(*[page("a", i, "E") for i in range(30, 60)])
+    found = feed.run(lambda s: state.unique_visits_dedup_stream(s.repartition(3), lanes=3))
+    assert len(seen(found)) == 1
+
+
 def test_delimited_streams_joined_on_seconds(spark, tmp_path):
     for side, text in (("l", "1,ann,100\n2,bob,100\n"), ("r", "1,f,105\n1,m,106\n2,m,95\n")):
         (tmp_path / side).mkdir()
@@ -133,12 +139,14 @@ def test_first_claim_across_batches(feed):
     ]
 
 
-def test_streamed_repair_equals_the_batch(spark, feed):
+@pytest.mark.parametrize("lanes", [1, 3])
+def test_streamed_repair_equals_the_batch(spark, feed, lanes):
     rows = [page(f"m{i % 4}", i, seq=i, is_new=str((i // 3) % 2)) for i in range(60)]
     for i in range(0, 60, 15):
         feed.add(*rows[i:i + 15][::-1])
     flags = lambda df: sorted(map(tuple, df.select("seq", "common.is_new").collect()))
-    assert flags(feed.run(state.repair_is_new_stream)) == flags(logs.repair_is_new(pages(spark, *rows)))
+    repair = lambda s: state.repair_is_new_stream(s.repartition(3), lanes=lanes)
+    assert flags(feed.run(repair)) == flags(logs.repair_is_new(pages(spark, *rows)))
 
 
 def test_records_keep_their_fields_in_state(spark, feed):
