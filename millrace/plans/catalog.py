@@ -382,6 +382,7 @@ def dim_table_camel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The look-up by key itself; the whole table is behind it."""
     return lookups.by_id(a.dimensions(spark, sf_dir)[orders.SKU], 7)
 
 

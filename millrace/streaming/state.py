@@ -13,6 +13,7 @@ from millrace.operators.visits import is_entry
 from millrace.streaming.processors import Bounces, DailyFirst, FirstClaim
 
 DAY_MS = 24 * 60 * 60 * 1000
+NO_TIME = -(2**63)
 
 # Keep microseconds when a record travels as text.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -29,7 +30,9 @@ def _restore(states: DataFrame, like: DataFrame, *extra: str) -> DataFrame:
 
 def _ordered(df: DataFrame, ts: str, tiebreak: Sequence[str]):
     ties = [(f"o{i}", df.select(c).schema[0].dataType.simpleString()) for i, c in enumerate(tiebreak)]
-    columns = [F.col(ts).alias("ts"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(tiebreak)]]
+    # Records without a time come first, as in the batch forms.
+    when = F.coalesce(F.col(ts), F.lit(NO_TIME)).alias("ts")
+    columns = [when, *[F.col(c).alias(f"o{i}") for i, c in enumerate(tiebreak)]]
     return columns, ties
 
 
@@ -54,7 +57,8 @@ def repair_is_new_stream(
     claim = F.col("common.is_new").eqNullSafe("1")
     names = ["ts", *[name for name, _ in ties]]
     keys = ["mid", "lane"] if lanes > 1 else ["mid"]
-    layout = f"{'mid string, lane int, ' if lanes > 1 else 'mid string, '}{_ddl(ties)}is_new string, body string"
+    lane = "lane int, " if lanes > 1 else ""
+    layout = f"mid string, {lane}{_ddl(ties)}is_new string, body string"
 
     def decide(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).transformWithStateInPandas(
@@ -146,7 +150,7 @@ def jumps_stream(
     width = max(slice_ms or within_ms * SLICES_PER_LIMIT, within_ms)
     own = time_slice(F.col("ts"), width)
     order, ties = _ordered(pages, ts, tiebreak)
-    flat = pages.select(
+    flat = pages.where(F.col(ts).isNotNull()).select(
         F.col(key).alias("mid"), *order, is_entry().alias("start"),
         F.when(is_entry(), _body(pages)).alias("body"),
     ).withColumn("et", F.timestamp_millis("ts")).withWatermark("et", lateness)

@@ -1,9 +1,8 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
-from millrace.jobs import changes, logs, orders, run
+from millrace.jobs import changes, orders, run
 from millrace.operators import orders as order_ops
 from millrace.operators.changes import current_state
 from millrace.sources.changefeed import table_feed

@@ -149,6 +149,15 @@ def test_streamed_repair_equals_the_batch(spark, feed, lanes):
     assert flags(feed.run(repair)) == flags(logs.repair_is_new(pages(spark, *rows)))
 
 
+def test_records_without_a_time_come_first(spark, feed):
+    timed = page("a", 1, "E", is_new="1")
+    untimed = (*page("a", 0, "E", is_new="1")[:4], None, 9)
+    feed.add(timed, untimed)
+    flags = lambda df: sorted(map(tuple, df.select("seq", "common.is_new").collect()))
+    expected = flags(logs.repair_is_new(pages(spark, timed, untimed)))
+    assert flags(feed.run(state.repair_is_new_stream)) == expected == [(9, "1"), (1000, "0")]
+
+
 def test_records_keep_their_fields_in_state(spark, feed):
     row = page("a", 1, "E", during=7, displays=[{"item": "i", "n": None}], start="{}")
     feed.add(row)
