@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    chat_format, decontamination, exact_dedup, language_id, license_scan, line_dedup, sentencepiece_bpe, toxicity,
+    chat_format, decontamination, exact_dedup, language_id, license_scan, line_dedup, sentencepiece_bpe,
+    substring_dedup, toxicity,
 )
 from millrace.llm.common import table
 
@@ -24,6 +25,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(
@@ -76,8 +81,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_decontamination, op5_chat_format, op6_license_scan, op7_toxicity,
-    op8_line_dedup, op9_language_id, op10_exact_dedup,
+    op2_sentencepiece, op3_decontamination, op4_substring_dedup, op5_chat_format, op6_license_scan,
+    op7_toxicity, op8_line_dedup, op9_language_id, op10_exact_dedup,
 )}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -103,6 +108,25 @@ n as (select item_id, count(*) as n_shingles from ish group by all),
 hit as (select doc_id, item_id, count(*) as n_shared from dsh join ish using (size, s) group by all)
 select doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles as containment
 from hit join n using (item_id) where n_shared * 100 >= n_shingles * 80""",
+    "op4_substring_dedup": r"""
+with w as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+win as (
+  select doc_id, unnest(range(1, greatest(len(w) - 12, 0) + 1)) as p,
+    unnest(list_transform(range(1, greatest(len(w) - 12, 0) + 1), lambda p: array_to_string(w[p:p + 12], ' '))) as s
+  from w),
+first as (select s, min(doc_id) as f from win group by s having count(distinct doc_id) > 1),
+lost as (select doc_id, list(p) as ps from win join first using (s) where doc_id > f group by doc_id),
+gone as (select doc_id, list_distinct(flatten(list_transform(ps, lambda p: range(p, p + 13)))) as g from lost),
+marked as (
+  select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from w),
+removed as (select doc_id, unnest(g) as i, true as r from gone),
+kept as (
+  select doc_id, string_agg(word, ' ' order by i) as k from marked left join removed using (doc_id, i)
+  where r is null group by doc_id)
+select w.doc_id, len(w.w) as n_words, coalesce(len(gone.g), 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from w left join gone using (doc_id) left join kept using (doc_id)""",
     "op8_line_dedup": f"""
 with l as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
