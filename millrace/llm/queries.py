@@ -7,12 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    chat_format, decontamination, exact_dedup, language_id, license_scan, line_dedup, sentencepiece_bpe,
-    substring_dedup, toxicity,
+    chat_format, decontamination, exact_dedup, jaccard_join, language_id, license_scan, line_dedup,
+    sentencepiece_bpe, substring_dedup, toxicity,
 )
 from millrace.llm.common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sentencepiece_bpe.tokenize(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return out.select(
@@ -81,7 +85,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_decontamination, op4_substring_dedup, op5_chat_format, op6_license_scan,
+    op1_ngram_jaccard_join, op2_sentencepiece, op3_decontamination, op4_substring_dedup, op5_chat_format, op6_license_scan,
     op7_toxicity, op8_line_dedup, op9_language_id, op10_exact_dedup,
 )}
 
