@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import plan_bytes, written
@@ -211,9 +211,11 @@ def sets_of(rows: DataFrame, wanted: DataFrame, k: int, groups: int) -> DataFram
 
 
 def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFrame:
-    """rep, n, token: of each set the n - least_overlap + 1 rarest shingles that another set has too.
+    """rep, n, odd, token, place: of each set the n - least_overlap + 1 rarest shingles that another set has too.
 
     Two sets that link share one of these: with one order for all, by number of sets and hash.
+    ``place`` is the token's place in its set by that order.
+    ``odd`` is small for a set whose shingles many others have, the middle of its family.
     """
 
     def flush(tokens, reps, at):
@@ -257,7 +259,7 @@ def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFr
 
     def chosen(key: tuple, own: pa.Table, replies: pa.Table) -> pa.Table:
         parts = [_opened(b.as_py(), 2) for b in replies.column("body")]
-        out: dict[str, list] = {"rep": [], "n": [], "tokens": []}
+        out: dict[str, list] = {"rep": [], "n": [], "odd": [], "alone": [], "tokens": []}
         if parts:
             reps, at, held = map(np.concatenate, zip(*parts))
             order = np.argsort(reps, kind="stable")
@@ -273,17 +275,26 @@ def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFr
                 count[at[a:z]] = held[a:z]
                 size = len(tokens) - least_overlap(len(tokens), percent) + 1
                 rare = np.lexsort((tokens, count))[:size]
-                rare = rare[count[rare] > 1]
+                alone = int((count[rare] == 1).sum())
+                rare = rare[alone:]
                 if len(rare):
+                    out["alone"].append(alone)
                     out["rep"].append(rep)
                     out["n"].append(len(tokens))
+                    out["odd"].append(-int(1000 * np.log2(count).mean()))
                     out["tokens"].append(tokens[rare].view(np.int64).tolist())
-        return pa.table(out, schema=pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("tokens", pa.list_(pa.int64()))]))
+        return pa.table(out, schema=pa.schema([
+            ("rep", pa.int64()), ("n", pa.int64()), ("odd", pa.int64()), ("alone", pa.int64()), ("tokens", pa.list_(pa.int64()))
+        ]))
 
     sent = sets.mapInArrow(hashed, "key int, kind int, body binary")
     replies = sent.groupBy("key").applyInArrow(counted, "grp int, body binary")
-    rare = sets.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(chosen, "rep long, n long, tokens array<long>")
-    return rare.select("rep", "n", F.explode("tokens").alias("token"))
+    rare = sets.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(
+        chosen, "rep long, n long, odd long, alone long, tokens array<long>"
+    )
+    return rare.select("rep", "n", "odd", "alone", F.posexplode("tokens").alias("at", "token")).select(
+        "rep", "n", "odd", "token", (F.col("alone") + F.col("at")).alias("place")
+    )
 
 
 class BlockIndex:
@@ -328,6 +339,9 @@ class BlockIndex:
                 found.append(y)
         return found
 
+    def links_of(self, x: int) -> list[tuple[int, int]]:
+        return [(x, y) for y in self.linked(x, [y != x for y in range(len(self.sets))])]
+
     def forest(self) -> list[tuple[int, int]]:
         """Links that join every component of the block: a search looks only for sets not yet reached."""
         open_ = [True] * len(self.sets)
@@ -348,8 +362,11 @@ class BlockIndex:
         return links
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links a, b among the sets named by candidate pairs (hub, rep), searched in blocks of a hub."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, within: bool) -> DataFrame:
+    """Links a, b among the sets named by candidate pairs (hub, rep), searched in blocks of a hub.
+
+    ``within`` also joins the sets of a block to each other, else only to the hub.
+    """
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = pairs.join(sizes, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), "rep")
     hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("hub").alias("rep"))
@@ -359,7 +376,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def search(table: pa.Table) -> pa.Table:
         reps = table.column("rep").to_pylist()
         index = BlockIndex([np.frombuffer(b.as_py(), np.uint64) for b in table.column("tokens")], percent)
-        links = index.forest()
+        hub = reps.index(table.column("hub")[0].as_py())
+        links = index.forest() if within else index.links_of(hub)
         return pa.table({
             "a": pa.array([reps[x] for x, _ in links], pa.int64()), "b": pa.array([reps[y] for _, y in links], pa.int64())
         })
@@ -367,18 +385,28 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return members.groupBy("hub", "block").applyInArrow(search, "a long, b long")
 
 
-def _close(percent: int):
-    return F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * percent
+def _possible(percent: int) -> Column:
+    """Whether two sets whose first common shingle is at these places can overlap enough.
+
+    Sets that link overlap in T shingles, none of which comes before their first common one; for
+    that shingle the condition holds, so pairs it refuses for all their common shingles don't link.
+    """
+    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("other_n")) / F.lit(100 + percent))
+    return (F.col("n") - F.col("place") >= need) & (F.col("other_n") - F.col("other_place") >= need)
 
 
 def star_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Of each token's list, the pairs (hub, rep) of one set of it and those of another component."""
-    rank = F.struct(F.xxhash64("rep", F.lit(turn)).alias("rank"), F.col("rep").alias("hub"), F.col("n").alias("other_n"),
-                    F.col("label").alias("other"))
+    """Of each token's list, the pairs (hub, rep) of one set of it and those of another component.
+
+    The hub is the least odd one at first, then any by a hash.
+    """
+    order = F.xxhash64("rep", F.lit(turn)) if turn else F.col("odd")
+    rank = F.struct(order.alias("rank"), F.col("rep").alias("hub"), F.col("n").alias("other_n"),
+                    F.col("place").alias("other_place"), F.col("label").alias("other"))
     hubs = entries.groupBy("token").agg(F.min(rank).alias("h"), F.min("label").alias("low"), F.max("label").alias("high")).where(
         "low != high"
-    ).select("token", "h.hub", "h.other_n", "h.other")
-    return entries.join(hubs, "token").where(F.col("label") != F.col("other")).where(_close(percent)).select(
+    ).select("token", "h.hub", "h.other_n", "h.other_place", "h.other")
+    return entries.join(hubs, "token").where(F.col("label") != F.col("other")).where(_possible(percent)).select(
         "hub", "rep"
     ).distinct()
 
@@ -387,8 +415,11 @@ def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs that share a prefix token and are still in different components."""
     mixed_lists = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
     left = entries.join(mixed_lists.select("token"), "token", "left_semi")
-    right = left.select("token", F.col("rep").alias("hub"), F.col("n").alias("other_n"), F.col("label").alias("other"))
-    return left.join(right, "token").where("rep < hub and label != other").where(_close(percent)).select("hub", "rep").distinct()
+    right = left.select("token", F.col("rep").alias("hub"), F.col("n").alias("other_n"), F.col("place").alias("other_place"),
+                        F.col("label").alias("other"))
+    return left.join(right, "token").where("rep < hub and label != other").where(_possible(percent)).select(
+        "hub", "rep"
+    ).distinct()
 
 
 def jaccard_components(
@@ -428,7 +459,7 @@ def jaccard_components(
         marked = entries.join(labels, "rep") if turn else entries.withColumn("label", F.col("rep"))
         pairs = star_pairs(marked, turn, percent) if turn < STAR_ROUNDS else open_pairs(marked, percent)
         pairs = written(pairs, "shingle-pairs")
-        found = written(verified(pairs, sets, percent), "shingle-links")
+        found = written(verified(pairs, sets, percent, turn < STAR_ROUNDS), "shingle-links")
         links = found if links is None else links.unionByName(found)
         named = components(links).withColumnRenamed("node", "rep").withColumnRenamed("label", "low")
         labels = entries.select("rep").distinct().join(named, "rep", "left").select(
