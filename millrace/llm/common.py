@@ -26,9 +26,9 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def text_bytes(rows: DataFrame) -> int:
+    """Bytes of all texts (doc_id, text)."""
+    return rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
 
 
 def narrowed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

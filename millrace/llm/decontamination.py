@@ -81,13 +81,15 @@ def contained_items(
     if lengths["rows"] * 24 <= BROADCAST_BYTES:
         probe = F.broadcast(probe)
     sizes = sorted(lengths["sizes"]) or [k]
-    arrays = F.flatten(F.array(*[
-        F.transform(hashed("words", s), lambda h, s=s: F.struct(F.lit(s).alias("size"), h.alias("hash"))) for s in sizes
-    ]))
-    if len(sizes) == 1:
-        found = words.select("doc_id", F.lit(sizes[0]).alias("size"), F.explode(hashed("words", sizes[0])).alias("hash"))
-    else:
-        found = words.select("doc_id", F.explode(arrays).alias("s")).select("doc_id", "s.size", "s.hash")
+
+    def sized(s: int) -> Column:
+        return F.transform(hashed("words", s), lambda h: F.struct(F.lit(s).alias("size"), h.alias("hash")))
+
+    found = words.select("doc_id", F.explode(F.flatten(F.array(*map(sized, sizes)))).alias("s")).select(
+        "doc_id", "s.size", "s.hash"
+    ) if len(sizes) > 1 else words.select(
+        "doc_id", F.lit(sizes[0]).alias("size"), F.explode(hashed("words", sizes[0])).alias("hash")
+    )
     pairs = found.join(probe, ["size", "hash"]).select("doc_id", "item_id").distinct()
 
     def checked(s: int) -> DataFrame:

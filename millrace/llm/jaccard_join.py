@@ -11,12 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import plan_bytes, written
+from millrace.llm.common import text_bytes, written
 from millrace.llm.components import components
 from millrace.llm.rolling import bucket_of, mixed, packed, runs, sliced, unpacked, words_of
 
 HELD_TOKENS = 3_000_000
-HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 12 << 20, 3 << 20
+HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 20 << 20, 5 << 20
 #: Documents of one search block: bounds its memory, not its result.
 BLOCK = 256
 STAR_ROUNDS = 2
@@ -443,7 +443,7 @@ def jaccard_components(
     their own; links to the id of any of them bear on rows with that set. Other columns are not read.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    size = plan_bytes(rows)
+    size = text_bytes(rows)
     buckets, groups = max(96, size // HASH_BUCKET_BYTES), max(96, size // TEXT_BUCKET_BYTES)
     marks = ["mark1", "mark2", "n_shingles"]
     known = written(profiles(rows, k, buckets, groups), "shingle-profiles")

@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import narrowed, plan_bytes
+from millrace.llm.common import narrowed, text_bytes
 from millrace.llm.rolling import bucket_of, mixed, packed, runs, sliced, unpacked, words_of
 
 #: A map task sends its windows on when it holds so many.
 HELD_WINDOWS = 4_000_000
-#: Input bytes per bucket of hashes and per group of documents: both fit in a worker's memory.
-HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 12 << 20, 3 << 20
+#: Bytes of text per bucket of hashes and per group of documents: both fit in a worker's memory.
+HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 20 << 20, 5 << 20
 NO_ID = np.int64(np.iinfo(np.int64).max)
 
 
@@ -141,7 +141,7 @@ def remove_repeats(
     them loses at a place if their texts are equal. Other columns are not read.
     """
     rows = narrowed(docs, id_col, text_col)
-    size = plan_bytes(rows)
+    size = text_bytes(rows)
     buckets = max(96, size // HASH_BUCKET_BYTES)
     groups = max(96, size // TEXT_BUCKET_BYTES)
     lost = repeated_windows(rows, k, buckets, groups)
