@@ -6,7 +6,30 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, LongType, MapType, StringType, StructField, StructType
+
+
+def numbers_as_text(schema: StructType) -> StructType:
+    """The same layout with long fields as text, so quoted numbers parse too."""
+    def loose(kind: DataType) -> DataType:
+        if isinstance(kind, LongType):
+            return StringType()
+        if isinstance(kind, StructType):
+            return numbers_as_text(kind)
+        return kind
+    return StructType([StructField(f.name, loose(f.dataType)) for f in schema.fields])
+
+
+def as_typed(value: Column, kind: DataType) -> Column:
+    """A field read with ``numbers_as_text`` in its own type; null where it is none."""
+    if isinstance(kind, LongType):
+        return value.try_cast("bigint")
+    if isinstance(kind, StructType):
+        inner = [as_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*inner))
+    if isinstance(kind, (ArrayType, MapType, StringType)):
+        return value
+    return value.try_cast(kind)
 
 
 def parse_typed(
@@ -17,13 +40,17 @@ def parse_typed(
 ) -> DataFrame:
     """JSON texts to the columns of ``schema``; other columns of ``lines`` are kept.
 
-    A text that does not parse gives nulls.  The fields come out of a generator so
+    A text that does not parse gives nulls; numbers may be quoted.  The fields come out of a generator so
     that each text is parsed once: filters on them stay above it instead of parsing
     the text again for every condition.
     """
     kept = [c for c in lines.columns if c != value]
-    record = F.from_json(F.col(value), schema, dict(options or {}))
-    return lines.select(*kept, F.inline(F.array(record)))
+    loose = numbers_as_text(schema)
+    record = F.from_json(F.col(value), loose, dict(options or {}))
+    parsed = lines.select(*kept, F.inline(F.array(record)))
+    if loose == schema:
+        return parsed
+    return parsed.select(*kept, *(as_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields))
 
 
 def to_lines(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

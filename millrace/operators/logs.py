@@ -6,36 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
-from millrace.functions.records import parse_typed
+from millrace.functions.records import as_typed, numbers_as_text, parse_typed
 from millrace.schemas import ODS_LOG
 
 _CORRUPT = "_corrupt"
 
 
-def _numbers_as_text(schema: StructType) -> StructType:
-    """The same layout with long fields as text, so quoted numbers parse too."""
-    def loose(kind):
-        if isinstance(kind, LongType):
-            return StringType()
-        if isinstance(kind, StructType):
-            return _numbers_as_text(kind)
-        return kind
-    return StructType([StructField(f.name, loose(f.dataType)) for f in schema.fields])
-
-
-def _typed(value: Column, kind) -> Column:
-    if isinstance(kind, LongType):
-        return value.try_cast("bigint")
-    if isinstance(kind, StructType):
-        inner = [_typed(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
-        return F.when(value.isNotNull(), F.struct(*inner))
-    if isinstance(kind, (ArrayType, MapType, StringType)):
-        return value
-    return value.try_cast(kind)
-
-
 def parse(
     lines: DataFrame, value: str = "value", schema: StructType = ODS_LOG
 ) -> DataFrame:
@@ -46,7 +24,7 @@ def parse(
     more fields.  The text is parsed as a field followed by a mark, so that anything
     after the object shows instead of being passed over.
     """
-    wrapper = StructType().add("_record", _numbers_as_text(schema)).add("_end", StringType())
+    wrapper = StructType().add("_record", numbers_as_text(schema)).add("_end", StringType())
     wrapper = wrapper.add(_CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     wrapped = lines.withColumn(
@@ -60,7 +38,7 @@ def parse(
         | record["common"]["mid"].isNull()
         | (record["ts"].isNotNull() & record["ts"].try_cast("bigint").isNull())
     )
-    fields = [_typed(record[f.name], f.dataType).alias(f.name) for f in schema.fields]
+    fields = [as_typed(record[f.name], f.dataType).alias(f.name) for f in schema.fields]
     return parsed.select(*lines.columns, *fields, is_dirty.alias("is_dirty"))
 
 

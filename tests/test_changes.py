@@ -142,3 +142,18 @@ def test_table_layout_of_a_rule(spark):
     assert schema.simpleString() == "struct<id:string,name:string>"
     assert schema["id"].metadata["primary_key"] is True
     assert routing.table_schema("a,b", "b", "SALT=3")["b"].metadata["extend"] == "SALT=3"
+
+
+def test_quoted_numbers_and_loose_times_are_read(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.functions.records import parse_typed
+    from millrace.functions.times import to_epoch_ms
+    from millrace.schemas import ORDER_INFO
+
+    lines = spark.createDataFrame([('{"id":"1","user_id":"9"}',), ('{"id":2,"user_id":9}',), ("no",)], "value string")
+    rows = parse_typed(lines, ORDER_INFO).select("id", "user_id").collect()
+    assert [tuple(r) for r in rows] == [(1, 9), (2, 9), (None, None)]
+    times = ["2024-01-01 01:02:03", "2024-01-01 01:02:03.5", "2024-1-1 1:2:3", "2024-01-01", "soon", None]
+    found = spark.createDataFrame([(t,) for t in times], "t string").select(to_epoch_ms(F.col("t"))).collect()
+    assert [r[0] for r in found] == [1704070923000, 1704070923500, 1704070923000, None, None, None]
