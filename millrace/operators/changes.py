@@ -65,6 +65,20 @@ def parse_records(lines: DataFrame, value: str = "value") -> DataFrame:
     return parse_typed(lines, CDC_RECORD, value)
 
 
+def placed(records: DataFrame, position: Sequence[str]) -> DataFrame:
+    """Add ``at``, which orders changes whatever files or partitions they pass later.
+
+    The database's log position comes first, then the time of the change, then ``position``
+    (columns ``src, part, off`` of the raw topic); what a feed does not name is null.
+    """
+    source = F.col("source")
+    at = F.struct(
+        source["file"].alias("file"), source["pos"].alias("pos"), source["row"].alias("row"),
+        F.coalesce(source["ts_ms"], "ts_ms").alias("ts_ms"), *position,
+    )
+    return records.withColumn("at", at).drop("source", "ts_ms")
+
+
 def parse_envelopes(lines: DataFrame, value: str = "value") -> DataFrame:
     """Envelope texts to columns."""
     return parse_typed(lines, CDC_ENVELOPE, value)

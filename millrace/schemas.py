@@ -44,14 +44,22 @@ ODS_LOG = (
     .add("ts", LongType())
 )
 
-CDC_RECORD = _struct(
-    "topic string, op string, before map<string,string>, after map<string,string>"
+CDC_RECORD = (
+    _struct("topic string, op string, before map<string,string>, after map<string,string>")
+    .add("ts_ms", LongType())
+    .add("source", _struct("file string, pos bigint, row bigint, ts_ms bigint"))
+)
+
+# Place of a change: in the database's log and its time, where the feed names them, then
+# where the raw record was stored.
+CHANGE_PLACE = _struct(
+    "file string, pos bigint, row bigint, ts_ms bigint, src bigint, part bigint, off bigint"
 )
 
 CDC_ENVELOPE = _struct(
     "database string, tableName string, before map<string,string>, "
     "after map<string,string>, type string"
-)
+).add("at", CHANGE_PLACE)
 
 TABLE_PROCESS = _struct(
     "source_table string, operate_type string, sink_type string, sink_table string, "

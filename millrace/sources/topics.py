@@ -1,8 +1,9 @@
 """Named topics on Kafka or in a directory.
 
 A record is one text ``value``, the time ``stored_ms`` it was stored at, and its
-position: partition and offset on Kafka; modification time, file and row in a
-directory.  Positions order a key's records and tell records of equal time apart.
+position: the time stored, then partition and offset on Kafka, file and row in a
+directory.  Positions tell records of equal time apart, and order a key's records where
+one writer stored them in turn; changes carry their own place (``CHANGE_ORDER``).
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 POSITION = ("src", "part", "off")
+#: Order of changes read from a topic of envelopes: the place they carry, then their position.
+CHANGE_ORDER = ("at", *POSITION)
 
 
 @dataclass(frozen=True)
@@ -75,7 +78,7 @@ class Topics:
             return rows.option("subscribe", topic).load().select(
                 F.col("value").cast("string").alias("value"),
                 F.unix_millis("timestamp").alias("stored_ms"),
-                F.lit(0).cast("bigint").alias("src"),
+                F.unix_millis("timestamp").alias("src"),
                 F.col("partition").cast("bigint").alias("part"),
                 F.col("offset").alias("off"),
             )
@@ -98,11 +101,18 @@ class Topics:
             "value",
             stored.alias("stored_ms"),
             stored.alias("src"),
-            F.xxhash64("_metadata.file_path").alias("part"),
+            _file_order().alias("part"),
             position.alias("off"),
         )
 
 
+def _file_order() -> Column:
+    """Files of one write by their number, then by a hash of the path that tells files apart."""
+    path = F.col("_metadata.file_path")
+    number = F.coalesce(F.regexp_extract(path, r"part-(\d{1,6})", 1).try_cast("bigint"), F.lit(0))
+    return F.shiftleft(number, 40) + F.xxhash64(path).bitwiseAND(F.lit((1 << 40) - 1))
+
+
 def log_files(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Landed log files, one JSON text per line."""
     return (spark.readStream if streaming else spark.read).text(path)

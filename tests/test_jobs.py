@@ -4,9 +4,10 @@ import pytest
 
 from millrace.jobs import changes, orders, run
 from millrace.operators import orders as order_ops
+from millrace.operators import routing
 from millrace.operators.changes import current_state
 from millrace.sources.changefeed import table_feed
-from millrace.sources.topics import POSITION, Topics
+from millrace.sources.topics import CHANGE_ORDER, POSITION, Topics
 from millrace.sinks.topics import write_routed
 
 
@@ -122,6 +123,43 @@ def test_change_stages(spark, topics, tmp_path):
     ]
 
 
+def change(table, op, after, before=None, **more):
+    return {"topic": f"srv.shop.{table}", "op": op, "before": before, "after": after, **more}
+
+
+@pytest.mark.parametrize("named", ["stored", "time", "log"])
+def test_the_last_change_wins_over_many_files(spark, topics, tmp_path, named):
+    """Oldest first in their files, or in any files if the records name their place."""
+    for i in range(4):
+        place = {"stored": {}, "time": {"ts_ms": 100 + i},
+                 "log": {"ts_ms": 1, "source": {"file": "log.1", "pos": i}}}[named]
+        before = None if i == 0 else {"id": 1, "v": f"v{i - 1}"}
+        batch = i if named == "stored" else 3 - i
+        put(topics, "change_records", change("t", "u" if i else "c", {"id": 1, "v": f"v{i}"}, before, **place),
+            batch=batch)
+    drain(topics, tmp_path, "normalize_feed")
+    feed = changes.changes.parse_envelopes(topics.read("ods_base_db").repartition(3))
+    state = current_state(feed, ["id"], CHANGE_ORDER)
+    assert [r.image["v"] for r in state.collect()] == ["v3"]
+
+
+def test_a_table_has_the_columns_of_all_its_rules(spark, topics, tmp_path):
+    put(
+        topics, "table_process",
+        rule("user_info", "update", "hbase", "dim_user_info", "id,name,phone", "id"),
+        rule("user_info", "insert", "hbase", "dim_user_info", "id,name"),
+    )
+    put(topics, "change_records", change("user_info", "c", {"id": 1, "name": "a", "phone": "x"}, ts_ms=1))
+    put(topics, "change_records", change("user_info", "u", {"id": 2, "name": "b", "phone": "y"}, ts_ms=2), batch=1)
+    drain(topics, tmp_path, "normalize_feed")
+    dims = str(tmp_path / "dims")
+    drain(topics, tmp_path, "route_changes", "--dims", dims)
+    merged = routing.table_rules(changes.read_rules(topics, "table_process")).first()
+    assert tuple(merged) == ("dim_user_info", "id,name,phone", "id", None)
+    table = changes.DimensionTable.from_rule(spark, dims, merged)
+    assert sorted(tuple(r) for r in table.read().collect()) == [("1", "a", None), ("2", "b", "y")]
+
+
 def test_table_feed_starts_with_the_table(spark, topics):
     later = {"database": "shop", "tableName": "tm", "before": {"id": "2"}, "after": {}, "type": "delete"}
     put(topics, "ods_base_db", later, {**later, "tableName": "other"})
