@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.times import DATE_FORMAT, TIME_FORMAT
 from millrace.operators import changes, orders
 from millrace.operators.lookups import lookup_join
-from millrace.schemas import MONEY
+from millrace.schemas import MONEY, ORDER_DETAIL, ORDER_INFO, PAYMENT_INFO
 
 EVENTS_DDL = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -297,6 +297,57 @@ def shop_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.normalize(records)
 
 
+def _raw_inserts(name: str, rows: DataFrame) -> DataFrame:
+    return rows.select(F.to_json(F.struct(
+        F.lit(f"feed.shop.{name}").alias("topic"), F.lit("c").alias("op"), F.struct(*rows.columns).alias("after")
+    )).alias("value"))
+
+
+def raw_business_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records as texts, numbers unquoted: orders, payments, and lines 0, 4 or 8 s after their order."""
+    placed = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    after = F.make_dt_interval(secs=F.col("l_linenumber") % 3 * 4)
+    lines = table(spark, sf_dir, "lineitem").drop("l_shipdate").join(placed, "l_orderkey").withColumn(
+        "l_shipdate", F.col("o_orderdate") + after
+    )
+    return (
+        _raw_inserts("order_info", order_info(spark, sf_dir))
+        .unionByName(_raw_inserts("order_detail", to_order_detail(lines)))
+        .unionByName(_raw_inserts("payment_info", payment_info(spark, sf_dir)))
+    )
+
+
+def raw_line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of ``line_changes`` as texts that name their place in the log, in no order."""
+    flag = F.col("l_returnflag")
+    image = F.struct(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("part"))
+    return table(spark, sf_dir, "lineitem").select(F.to_json(F.struct(
+        F.lit("feed.shop.last_line").alias("topic"),
+        F.when(flag == "A", "c").when(flag == "N", "u").otherwise("d").alias("op"),
+        F.when(flag != "A", image).alias("before"),
+        F.when(flag != "R", image).alias("after"),
+        F.struct(
+            F.date_format("l_shipdate", "yyyyMMdd").alias("file"),
+            (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("pos"),
+            F.col("l_linenumber").alias("row"),
+            (F.col("l_extendedprice") * 100).cast("bigint").alias("ts_ms"),
+        ).alias("source"),
+    )).alias("value"))
+
+
+def business_rules(spark: SparkSession) -> DataFrame:
+    """Envelopes of rules that route orders, lines and payments to their topics."""
+    layouts = {"order_info": ORDER_INFO, "order_detail": ORDER_DETAIL, "payment_info": PAYMENT_INFO}
+    images = [{
+        "source_table": name, "operate_type": "insert", "sink_type": "kafka",
+        "sink_table": f"dwd_{name}", "sink_columns": ",".join(layout.names),
+    } for name, layout in layouts.items()]
+    return spark.createDataFrame(
+        [("config", "table_process", image, "insert") for image in images],
+        "database string, tableName string, after map<string,string>, type string",
+    )
+
+
 # (source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend)
 RULES = [
     ("orders", "insert", "kafka", "dwd_orders", "id,user_id,total", None, None),

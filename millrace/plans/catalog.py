@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import records, times
+from millrace.jobs import changes as change_jobs
+from millrace.jobs import orders as order_jobs
 from millrace.operators import changes, joins, jumps, logs, lookups, orders, routing, stats, visits
 from millrace.plans import adapters as a
-from millrace.schemas import TABLE_PROCESS
+from millrace.schemas import ORDER_WIDE, PAYMENT_WIDE, TABLE_PROCESS
 from millrace.session import shared_dir
 from millrace.sinks.dimensions import DimensionTable
 from millrace.sinks.topics import write_routed, write_topic
 from millrace.sources.tables import read_table
-from millrace.sources.topics import Topics
+from millrace.sources.topics import CHANGE_ORDER, Topics
 from millrace.streaming import joins as stream_joins
 from millrace.streaming import state
 from millrace.streaming.runner import run_to_table, start_batches
@@ -243,6 +245,59 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.read()
 
 
+# Whole paths, from raw change records through the jobs over topics on files
+
+def _drained(queries) -> None:
+    for query in queries:
+        query.awaitTermination()
+
+
+def _business_topics(spark: SparkSession, sf_dir: str) -> tuple[Topics, str]:
+    """Raw change records, normalised, routed by rules, and joined to wide orders."""
+    root = shared_dir(spark, "chain")
+    topics, checkpoint, drain = Topics(spark, f"{root}/topics"), f"{root}/ck", {"availableNow": True}
+    write_topic(topics, a.business_rules(spark), "table_process", "rules")
+    raw = a.raw_business_changes(spark, sf_dir).withColumn("topic", F.lit("change_records"))
+    write_routed(topics, raw, "database")
+    _drained(change_jobs.normalize_feed(topics, "change_records", checkpoint, drain))
+    _drained(change_jobs.route_changes(topics, "table_process", f"{root}/dims", checkpoint, drain))
+    dims = a.dimensions(spark, sf_dir)
+    _drained(order_jobs.order_wide(topics, lambda: dims, checkpoint, drain))
+    return topics, checkpoint
+
+
+@query
+def chain_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide orders at the end of three jobs; without the age, which follows the clock."""
+    topics, _ = _business_topics(spark, sf_dir)
+    wide = records.parse_typed(topics.read(order_jobs.WIDE_TOPIC), ORDER_WIDE)
+    return wide.select(*[c for c in ORDER_WIDE.names if c != "user_age"])
+
+
+@query
+def chain_payment_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide payments at the end of four jobs; without the age, which follows the clock."""
+    topics, checkpoint = _business_topics(spark, sf_dir)
+    _drained(order_jobs.payment_wide(topics, checkpoint, {"availableNow": True}))
+    wide = records.parse_typed(topics.read(order_jobs.PAID_TOPIC), PAYMENT_WIDE)
+    return wide.select(*[c for c in PAYMENT_WIDE.names if c != "user_age"])
+
+
+@query
+def chain_cdc_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live rows after the feed job, its records spread over many files in no order."""
+    root = shared_dir(spark, "feed")
+    topics = Topics(spark, f"{root}/topics")
+    raw = a.raw_line_changes(spark, sf_dir).withColumn("topic", F.lit("change_records"))
+    write_routed(topics, raw.repartition(8), "database")
+    _drained(change_jobs.normalize_feed(topics, "change_records", f"{root}/ck", {"availableNow": True}))
+    feed = changes.parse_envelopes(topics.read(change_jobs.ODS))
+    image = F.col("image")
+    return changes.current_state(feed, ["id"], CHANGE_ORDER).select(
+        image["id"].alias("id"), image["part"].alias("part")
+    )
+
+
 # Joins and wide tables
 
 def _orders_by_ms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -187,6 +187,21 @@ _FIVE_DAYS = f"AND d.create_ts - i.create_ts BETWEEN {-5 * DAY} AND {5 * DAY}"
 
 _WIDE = "SELECT * EXCLUDE (create_ts) FROM order_wide"
 
+_PAID = """
+SELECT p.id AS payment_id, p.subject, p.payment_type, p.create_time AS payment_create_time,
+       p.callback_time, w.detail_id, p.order_id, w.sku_id, w.order_price, w.sku_num, w.sku_name,
+       w.province_id, w.order_status, p.user_id, p.total_amount, w.activity_reduce_amount,
+       w.coupon_reduce_amount, w.original_total_amount, w.feight_fee, w.split_feight_fee,
+       w.split_activity_amount, w.split_coupon_amount, w.split_total_amount,
+       w.create_time AS order_create_time, w.province_name, w.province_area_code,
+       w.province_iso_code, w.province_3166_2_code, w.user_age, w.user_gender, w.spu_id, w.tm_id,
+       w.category3_id, w.spu_name, w.tm_name, w.category3_name
+FROM payment p JOIN order_wide w ON p.order_id = w.order_id
+ AND w.create_ts - p.create_ts BETWEEN -900000 AND 5000"""
+
+# Of lines 0, 4 or 8 seconds after their order the interval of the job keeps the first two.
+_NEAR = "AND d.id % 10 % 3 < 2"
+
 _PAYMENT_INTERVAL = f"""
 SELECT p.user_id, p.event_id AS purchase_id, v.event_id AS view_id
 FROM events p JOIN events v ON p.user_id = v.user_id
@@ -242,6 +257,9 @@ SELECT 'ignored' AS reason, 'supplier' AS "tableName", 'insert' AS type,
 UNION ALL SELECT 'unmatched', 'customer', 'read', CAST(c_custkey AS VARCHAR) FROM customer""",
     "topic_round_trip": _TOPIC_LINES,
     "dim_upsert": _UPSERTED,
+    "chain_order_wide": _order_wide(_NEAR) + "SELECT * EXCLUDE (create_ts, user_age) FROM order_wide",
+    "chain_payment_wide": _order_wide(_NEAR) + f"SELECT * EXCLUDE (user_age) FROM ({_PAID})",
+    "chain_cdc_current": _CURRENT,
     "order_detail_interval": f"""{_SIDES}
 SELECT i.id AS order_id, d.id AS detail_id, i.create_time AS order_time,
        d.create_time AS detail_time
@@ -255,17 +273,7 @@ FROM info i JOIN detail d ON i.id = d.order_id
     "order_wide_interval": _order_wide(_FIVE_DAYS) + _WIDE,
     "order_wide_missing_dim": _order_wide(parts="p_size <= 40") + _WIDE,
     "order_wide_inner": _order_wide(parts="p_size <= 40", how="INNER") + _WIDE,
-    "payment_wide": _order_wide() + f"""
-SELECT p.id AS payment_id, p.subject, p.payment_type, p.create_time AS payment_create_time,
-       p.callback_time, w.detail_id, p.order_id, w.sku_id, w.order_price, w.sku_num, w.sku_name,
-       w.province_id, w.order_status, p.user_id, p.total_amount, w.activity_reduce_amount,
-       w.coupon_reduce_amount, w.original_total_amount, w.feight_fee, w.split_feight_fee,
-       w.split_activity_amount, w.split_coupon_amount, w.split_total_amount,
-       w.create_time AS order_create_time, w.province_name, w.province_area_code,
-       w.province_iso_code, w.province_3166_2_code, w.user_age, w.user_gender, w.spu_id, w.tm_id,
-       w.category3_id, w.spu_name, w.tm_name, w.category3_name
-FROM payment p JOIN order_wide w ON p.order_id = w.order_id
- AND w.create_ts - p.create_ts BETWEEN -900000 AND 5000""",
+    "payment_wide": _order_wide() + _PAID,
     "coalesce_merge": f"""{_SIDES}
 SELECT i.id, coalesce(i.order_status, p.payment_type) AS order_status,
        coalesce(i.create_time, p.create_time) AS create_time,
