@@ -23,6 +23,8 @@ DIRTY = "dirty_log"
 VISITS = "dwm_unique_visit"
 JUMPS = "dwm_user_jump_detail"
 
+LANES = 16
+
 
 def _page_stream(
     topics: Topics, topic: str, files_per_batch: int | None, schema: StructType = ODS_LOG
@@ -47,7 +49,8 @@ def split_logs(
     def write_dirty(batch: DataFrame, batch_id: int) -> None:
         write_routed(topics, batch.withColumn("topic", F.lit(DIRTY)), "dirty_logs", batch_id)
 
-    repaired = state.repair_is_new_stream(logs.good(parsed()), tiebreak=POSITION)
+    # Lanes leave a visitor that keeps claiming to be new few rows for its one task.
+    repaired = state.repair_is_new_stream(logs.good(parsed()), tiebreak=POSITION, lanes=LANES)
     return [
         start_batches(repaired, write, f"{checkpoint}/split", trigger, "split_logs"),
         start_batches(logs.dirty(parsed()), write_dirty, f"{checkpoint}/dirty", trigger, "dirty_logs"),
