@@ -7,9 +7,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import smallest_hashes, written
 
 LETTER = re.compile(r"[^\W\d_]")
 NO_LETTERS = re.compile(r"[\W\d_]+")
@@ -32,11 +33,8 @@ def train(
     ).where("lang is not null and text is not null and text != '' and doc_id is not null").where(
         F.length("text") <= max_chars
     )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = rows.select("lang", "doc_id").withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= texts_per_language
-    )
-    wanted = [r["doc_id"] for r in ids.collect()]
+    usable = written(rows.select("lang", "doc_id"), "language-ids")
+    wanted = [r["doc_id"] for r in smallest_hashes(usable, "lang", "doc_id", texts_per_language).collect()]
     content: dict[str, bytearray] = {}
     sample = rows.where(F.col("doc_id").isin(wanted)) if wanted else rows.limit(0)
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"])):

@@ -11,9 +11,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import smallest_hashes, written
+
 WORD = re.compile(r"\w+")
 BUCKETS = 1 << 16
 DIM = 8
@@ -146,10 +148,8 @@ def train(
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).where(
         "text is not null and text != ''"
     ).where(F.length("text") <= max_chars)
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = [tuple(r) for r in marked.join(rows.select("doc_id").distinct(), "doc_id").withColumn(
-        "place", F.row_number().over(order)
-    ).where(F.col("place") <= texts_per_class).select("doc_id", "label").collect()]
+    usable = written(marked.join(rows.select("doc_id").distinct(), "doc_id").select("doc_id", "label"), "labelled-ids")
+    ids = [tuple(r) for r in smallest_hashes(usable, "label", "doc_id", texts_per_class).collect()]
     if not ids:
         return None
     label = dict(ids)

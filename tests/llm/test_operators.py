@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    chat_format, components, decontamination, exact_dedup, jaccard_join, language_id, license_scan, line_dedup,
+    chat_format, common, components, decontamination, exact_dedup, jaccard_join, language_id, license_scan, line_dedup,
     sentencepiece_bpe, substring_dedup, toxicity,
 )
 
@@ -326,6 +326,18 @@ def labelled(spark):
     return frame(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int, text string")
 
 
+@pytest.mark.parametrize("slot_bits", [1, 3, 16])
+def test_smallest_hashes(spark, slot_bits):
+    ids = spark.range(300).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 9, "few").otherwise("many").alias("name"))
+    rows = ids.withColumn("rank", F.xxhash64("doc_id")).unionByName(ids.limit(2).withColumn("rank", F.xxhash64("doc_id")))
+    wanted = []
+    for name in ("few", "many"):
+        wanted += sorted((r["rank"], r["doc_id"]) for r in rows.where(F.col("name") == name).collect())[:20]
+    got = common.smallest_hashes(rows, "name", "doc_id", 20, slot_bits).collect()
+    assert sorted((r["rank"], r["doc_id"]) for r in got) == sorted(wanted)
+    assert common.smallest_hashes(rows.limit(0), "name", "doc_id", 20, slot_bits).count() == 0
+
+
 def test_toxicity(spark):
     docs, labels = labelled(spark)
     model = toxicity.train(docs, labels, F.col("doc_id") % 5 != 0, epochs=40)
