@@ -39,7 +39,7 @@ def narrowed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def smallest_hashes(rows: DataFrame, group: str, id_col: str, most: int, slot_bits: int = 16) -> DataFrame:
+def smallest_hashes(rows: DataFrame, group: str, id_col: str, most: int, slot_bits: int = 12) -> DataFrame:
     """Of each group the ``most`` rows with the smallest hash of the id, ties by id.
 
     Rows are counted by group and leading bits of the hash, combined before the shuffle; only those
