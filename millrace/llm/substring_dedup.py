@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import narrowed, text_bytes
-from millrace.llm.rolling import bucket_of, mixed, packed, runs, sliced, unpacked, words_of
+from millrace.llm.rolling import bucket_of, packed, runs, sliced, unpacked, words_of
 
 #: A map task sends its windows on when it holds so many.
 HELD_WINDOWS = 4_000_000
@@ -20,42 +20,45 @@ HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 20 << 20, 5 << 20
 NO_ID = np.int64(np.iinfo(np.int64).max)
 
 
-def _group_of(doc_ids: np.ndarray, groups: int) -> np.ndarray:
-    return bucket_of(mixed(doc_ids.astype(np.int64).view(np.uint64)), groups)
-
-
-def _sent(hashes, ids, at, buckets: int, groups: int) -> Iterator[tuple[int, bytes]]:
+def _sent(hashes, ids, group, buckets: int, groups: int) -> Iterator[tuple[int, bytes]]:
     """Rows of one held set of windows: per bucket the smallest id's windows, per group what is lost already.
 
     Of windows with one hash only those of the smallest id go on to be compared with other tasks;
     the others start later in this task's own documents, so they are lost whatever is elsewhere.
     """
-    order = np.lexsort((ids, hashes))
-    hashes, ids, at = hashes[order], ids[order], at[order]
+    hashes, ids, group = _distinct(hashes, ids, group)
     new = np.r_[True, hashes[1:] != hashes[:-1]] if len(hashes) else np.zeros(0, bool)
     least = ids[np.flatnonzero(new)][np.cumsum(new) - 1] if len(hashes) else ids
     lost = ids > least
-    yield from _losses(ids[lost], at[lost], groups)
-    hashes, ids, at = hashes[~lost], ids[~lost], at[~lost]
+    yield from _losses(hashes[lost], ids[lost], group[lost], groups)
+    hashes, ids, group = hashes[~lost], ids[~lost], group[~lost]
     edges = sliced(bucket_of(hashes, buckets), buckets)
     for b in range(buckets):
         a, z = edges[b], edges[b + 1]
         if z > a:
             low = int(ids[a:z].min())
             offset = (ids[a:z] - low).view(np.uint64)
-            yield b, low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], offset, at[a:z])
+            yield b, low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], offset, group[a:z])
+
 
+def _distinct(hashes: np.ndarray, ids: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each (hash, id, group) once, in that order."""
+    order = np.lexsort((group, ids, hashes))
+    hashes, ids, group = hashes[order], ids[order], group[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1]) | (group[1:] != group[:-1])
+    return hashes[new], ids[new], group[new]
 
-def _losses(ids: np.ndarray, at: np.ndarray, groups: int) -> Iterator[tuple[int, bytes]]:
-    """Rows (-1 - group, windows that go) by group of documents."""
-    group = _group_of(ids, groups)
-    order = np.lexsort((at, ids, group))
-    group, ids, at = group[order], ids[order], at[order]
+
+def _losses(hashes: np.ndarray, ids: np.ndarray, group: np.ndarray, groups: int) -> Iterator[tuple[int, bytes]]:
+    """Rows (-1 - group, hashes of the windows that go, their ids) by group of documents; sorted by hash and id."""
+    order = np.argsort(group, kind="stable")
+    hashes, ids, group = hashes[order], ids[order], group[order]
     edges = sliced(group, groups)
     for g in np.flatnonzero(np.diff(edges)):
         a, z = edges[g], edges[g + 1]
-        low = int(ids[a])
-        yield -1 - int(g), low.to_bytes(8, "little", signed=True) + packed((ids[a:z] - low).view(np.uint64), at[a:z])
+        low = int(ids[a:z].min())
+        yield -1 - int(g), low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], (ids[a:z] - low).view(np.uint64))
 
 
 def _rows(found: Iterator[tuple[int, bytes]], key: str = "bucket") -> Iterator[pa.RecordBatch]:
@@ -72,15 +75,16 @@ def _rows(found: Iterator[tuple[int, bytes]], key: str = "bucket") -> Iterator[p
 
 
 def repeated_windows(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
-    """Windows whose words also start in a document with a smaller id: group, body (packed ids and places)."""
+    """Windows whose words also start in a document with a smaller id: group, body (packed hashes and ids)."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
             ids = np.array(batch.column(0).fill_null(int(NO_ID)), np.int64)
+            group = np.array(batch.column(2), np.uint32)
             for first, last, data, offsets in runs(batch):
-                hashes, text, at = words_of(data, offsets, lower=False).windows(k)
-                held.append((hashes, ids[first:last][text], at.astype(np.uint32)))
+                hashes, text, _ = words_of(data, offsets, lower=False).windows(k)
+                held.append((hashes, ids[first:last][text], group[first:last][text]))
                 count += len(hashes)
                 if count >= HELD_WINDOWS:
                     yield from _rows(_sent(*map(np.concatenate, zip(*held)), buckets, groups))
@@ -96,16 +100,14 @@ def repeated_windows(rows: DataFrame, k: int, buckets: int, groups: int) -> Data
         else:
             parts = []
             for body in bodies:
-                hashes, offset, at = unpacked(body[8:], 3)
+                hashes, offset, group = unpacked(body[8:], 3)
                 low = np.int64(int.from_bytes(body[:8], "little", signed=True))
-                parts.append((hashes, offset.view(np.int64) + low, at))
-            hashes, ids, at = map(np.concatenate, zip(*parts))
-            order = np.argsort(hashes, kind="stable")
-            hashes, ids, at = hashes[order], ids[order], at[order]
+                parts.append((hashes, offset.view(np.int64) + low, group.astype(np.uint32)))
+            hashes, ids, group = _distinct(*map(np.concatenate, zip(*parts)))
             starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
             least = np.repeat(np.minimum.reduceat(ids, starts), np.diff(np.r_[starts, len(ids)]))
             lost = ids > least
-            found = list(_losses(ids[lost], at[lost], groups))
+            found = list(_losses(hashes[lost], ids[lost], group[lost], groups))
         return pa.table({
             "group": pa.array([-1 - b for b, _ in found], pa.int32()), "body": pa.array([b for _, b in found], pa.binary()),
         })
@@ -136,43 +138,49 @@ def remove_repeats(
     bucket as often as there are tasks. Equality is that of 64-bit hashes: two of n
     windows that differ meet by chance about n^2 / 2^65 times.
 
-    Null text has no words. Rows without an id count as later than all others and take
-    nothing from each other; rows that repeat an id count as one document and lose what any of
-    them loses at a place if their texts are equal. Other columns are not read.
+    Null text has no words. Rows without an id count as later than all others; neither they nor
+    rows that share an id take anything from each other, whatever their texts. Losses are told
+    apart by id and hash and looked up in each text's own windows. Rows are dealt to groups by id
+    and text, so only equal rows must meet. Other columns are not read.
     """
     rows = narrowed(docs, id_col, text_col)
     size = text_bytes(rows)
     buckets = max(96, size // HASH_BUCKET_BYTES)
     groups = max(96, size // TEXT_BUCKET_BYTES)
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
     lost = repeated_windows(rows, k, buckets, groups)
-    grouped = rows.mapInArrow(_with_group(groups), "group int, doc_id long, text string")
 
     def cut(key: tuple, texts: pa.Table, gone: pa.Table) -> pa.Table:
         parts = []
         for body in gone.column("body"):
             blob = body.as_py()
-            offset, at = unpacked(blob[8:], 2)
-            parts.append((offset.view(np.int64) + np.int64(int.from_bytes(blob[:8], "little", signed=True)), at.view(np.int64)))
-        ids, at = map(np.concatenate, zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
-        order = np.lexsort((at, ids))
-        ids, at = ids[order], at[order]
+            hashes, offset = unpacked(blob[8:], 2)
+            parts.append((hashes, offset.view(np.int64) + np.int64(int.from_bytes(blob[:8], "little", signed=True))))
+        lost, ids = map(np.concatenate, zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        order = np.lexsort((lost, ids))
+        lost, ids = lost[order], ids[order]
         out: dict[str, list] = {"doc_id": [], "n_words": [], "removed": [], "kept": []}
-        for doc_id, text in zip(texts.column("doc_id"), texts.column("text")):
-            number = doc_id.as_py()
-            wanted = NO_ID if number is None else np.int64(number)
-            a, z = np.searchsorted(ids, wanted, "left"), np.searchsorted(ids, wanted, "right")
-            words = text.as_py().encode().split()
-            found = intervals(np.unique(at[a:z]), k)
-            keep = np.ones(len(words), bool)
-            for start, end in found:
-                keep[start:end] = False
-            out["doc_id"].append(number)
-            out["n_words"].append(len(words))
-            out["removed"].append([{"start": s, "end": e} for s, e in found])
-            out["kept"].append((b" ".join(compress(words, keep)) if found else b" ".join(words)).decode())
+        for batch in texts.select(["doc_id", "text"]).to_batches():
+            for first, last, data, offsets in runs(batch):
+                hashes, text, _ = words_of(data, offsets, lower=False).windows(k)
+                edges = sliced(text, last - first)
+                for i in range(first, last):
+                    number = batch.column(0)[i].as_py()
+                    wanted = NO_ID if number is None else np.int64(number)
+                    a, z = np.searchsorted(ids, wanted, "left"), np.searchsorted(ids, wanted, "right")
+                    own = hashes[edges[i - first]:edges[i - first + 1]]
+                    words = batch.column(1)[i].as_py().encode().split()
+                    found = intervals(np.flatnonzero(np.isin(own, lost[a:z])), k) if z > a else []
+                    keep = np.ones(len(words), bool)
+                    for start, end in found:
+                        keep[start:end] = False
+                    out["doc_id"].append(number)
+                    out["n_words"].append(len(words))
+                    out["removed"].append([{"start": s, "end": e} for s, e in found])
+                    out["kept"].append((b" ".join(compress(words, keep)) if found else b" ".join(words)).decode())
         return pa.table(out, schema=CUT)
 
-    return grouped.groupBy("group").cogroup(lost.groupBy("group")).applyInArrow(
+    return rows.select("group", "doc_id", "text").groupBy("group").cogroup(lost.groupBy("group")).applyInArrow(
         cut, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept string"
     )
 
@@ -183,16 +191,6 @@ CUT = pa.schema([
 ])
 
 
-def _with_group(groups: int):
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = np.array(batch.column(0).fill_null(int(NO_ID)), np.int64)
-            group = pa.array(_group_of(ids, groups).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([group, *batch.columns], ["group", "doc_id", "text"])
-
-    return add
-
-
 def digests(cuts: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of ``remove_repeats``."""
     return cuts.select(

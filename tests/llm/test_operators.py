@@ -143,6 +143,30 @@ def test_substring_dedup_in_small_pieces(spark, texts, monkeypatch):
     assert {r["doc_id"]: r["n_removed"] for r in found} == {i: n for i, _, n, _ in brute_windows(rows, 13)}
 
 
+@pytest.mark.parametrize("held", [1, 4_000_000])
+def test_substring_dedup_of_rows_without_id_and_ids_with_two_texts(spark, texts, monkeypatch, held):
+    monkeypatch.setattr(substring_dedup, "HELD_WINDOWS", held)
+    rng = random.Random(11)
+    passage, alone = texts[4][1], [prose(rng, 90, 9000) for _ in range(6)]
+    rows = [
+        *texts, (None, f"{passage} {alone[0]}"), (None, alone[1]), (None, f"{alone[2]} {passage}"), (None, alone[1]), (None, None),
+        (7000, f"{passage} {alone[3]}"), (7000, alone[4]), (7000, f"{alone[5]} {passage}"), (7001, alone[4]),
+    ]
+    found = substring_dedup.remove_repeats(frame(spark, rows)).collect()
+    mine = [(r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["removed"]), r["kept"]) for r in found]
+    assert sorted(mine, key=repr) == brute_windows(rows, 13)
+
+
+def test_substring_dedup_spreads_rows_without_id(spark):
+    rows = frame(spark, [(None, f"text {n}") for n in range(300)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        dealt = substring_dedup.remove_repeats(rows).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in dealt) < 300
+
+
 def brute_components(rows, k, percent):
     sets, parent = {}, {}
     for i, t in rows:
