@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.common import text_bytes, written
 from millrace.llm.components import components
@@ -32,16 +33,18 @@ def _group_of(ids: np.ndarray, groups: int) -> np.ndarray:
     return bucket_of(mixed(ids.astype(np.int64).view(np.uint64)), groups)
 
 
-def _by_group(ids: np.ndarray, groups: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(group, packed ids and columns) of rows dealt to groups of documents."""
-    group = _group_of(ids, groups)
+def _by_group(
+    ids: np.ndarray, groups: int, *columns: np.ndarray, by: np.ndarray | None = None
+) -> Iterator[tuple[int, bytes]]:
+    """(group, packed ids and columns) of rows dealt to groups of documents, by the id or ``by``."""
+    group = _group_of(ids if by is None else by, groups)
     order = np.lexsort((ids, group))
     group, ids = group[order], ids[order]
     columns = tuple(c[order] for c in columns)
     edges = sliced(group, groups)
     for g in np.flatnonzero(np.diff(edges)):
         a, z = edges[g], edges[g + 1]
-        low = int(ids[a])
+        low = int(ids[a])  # the smallest: sorted within the group
         yield int(g), low.to_bytes(8, "little", signed=True) + packed(
             (ids[a:z] - low).view(np.uint64), *(c[a:z] for c in columns)
         )
@@ -131,7 +134,9 @@ def profiles(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
                 hashes, text = shingle_sets(data, offsets, k)
                 own = ids[first:last]
                 size, one, two = set_marks(hashes, text, len(own))
-                yield from _sorted_rows((-1 - g, 1, body) for g, body in _by_group(own, groups, size, one.view(np.uint64), two.view(np.uint64)))
+                # Nothing is asked about rows without an id, so they need not meet in one group.
+                by = np.where(own == NO_ID, one, own)
+                yield from _sorted_rows((-1 - g, 1, body) for g, body in _by_group(own, groups, size, one.view(np.uint64), two.view(np.uint64), by=by))
                 held.append((hashes, own[text]))
                 count += len(hashes)
                 if count >= HELD_TOKENS:
@@ -188,26 +193,41 @@ def profiles(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
     )
 
 
-def sets_of(rows: DataFrame, wanted: DataFrame, k: int, groups: int) -> DataFrame:
-    """grp, rep, tokens (sorted 64-bit hashes) of the wanted representatives (rep, mark1, mark2)."""
-    there = rows.join(wanted, rows["doc_id"] == wanted["rep"]).select("rep", "text", "mark1", "mark2")
+MARKS = ["mark1", "mark2", "n_shingles"]
+
+
+def _marked(rows: DataFrame, k: int) -> DataFrame:
+    """doc_id, mark1, mark2, n_shingles, tokens (sorted 64-bit hashes) of rows (doc_id, text)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reps = np.array(batch.column(0), np.int64)
-            want = np.array(batch.column(2), np.int64), np.array(batch.column(3), np.int64)
             for first, last, data, offsets in runs(batch):
                 hashes, text = shingle_sets(data, offsets, k)
-                _, one, two = set_marks(hashes, text, last - first)
+                size, one, two = set_marks(hashes, text, last - first)
                 edges = sliced(text, last - first)
-                right = np.flatnonzero((one == want[0][first:last]) & (two == want[1][first:last]))
-                own = reps[first:last][right]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_group_of(own, groups).astype(np.int32)), pa.array(own),
-                    pa.array([hashes[edges[i]:edges[i + 1]].tobytes() for i in right], pa.binary()),
-                ], ["grp", "rep", "tokens"])
+                    batch.column(0).slice(first, last - first), pa.array(one), pa.array(two), pa.array(size.astype(np.int64)),
+                    pa.array([hashes[edges[i]:edges[i + 1]].tobytes() for i in range(last - first)], pa.binary()),
+                ], ["doc_id", *MARKS, "tokens"])
+
+    return rows.mapInArrow(made, "doc_id long, mark1 long, mark2 long, n_shingles long, tokens binary")
+
+
+def sets_of(rows: DataFrame, wanted: DataFrame, k: int, groups: int) -> DataFrame:
+    """grp, rep, tokens (sorted 64-bit hashes) of the wanted classes (rep, first_id, marks), one row each.
+
+    A class is read from the rows of its smallest id that have its marks: an id may have several texts.
+    """
+    there = rows.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    once = _marked(there, k).dropDuplicates(["doc_id", *MARKS])
+    named = once.join(wanted.withColumnRenamed("first_id", "doc_id"), ["doc_id", *MARKS])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            group = _group_of(np.array(batch.column(0), np.int64), groups).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], ["grp", "rep", "tokens"])
 
-    return there.mapInArrow(made, "grp int, rep long, tokens binary")
+    return named.select("rep", "tokens").mapInArrow(dealt, "grp int, rep long, tokens binary")
 
 
 def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFrame:
@@ -264,11 +284,7 @@ def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFr
             reps, at, held = map(np.concatenate, zip(*parts))
             order = np.argsort(reps, kind="stable")
             reps, at, held = reps[order], at[order].view(np.int64), held[order].view(np.int64)
-            done = set()
             for rep, body in zip(own.column("rep").to_pylist(), own.column("tokens")):
-                if rep in done:
-                    continue
-                done.add(rep)
                 tokens = np.frombuffer(body.as_py(), np.uint64)
                 a, z = np.searchsorted(reps, rep, "left"), np.searchsorted(reps, rep, "right")
                 count = np.ones(len(tokens), np.int64)
@@ -370,8 +386,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, within: bool) -> D
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = pairs.join(sizes, "hub").select("hub", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block"), "rep")
     hubs = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("hub").alias("rep"))
-    once = sets.select("rep", "tokens").dropDuplicates(["rep"])
-    members = dealt.unionByName(hubs).join(once, "rep")
+    members = dealt.unionByName(hubs).join(sets.select("rep", "tokens"), "rep")
 
     def search(table: pa.Table) -> pa.Table:
         reps = table.column("rep").to_pylist()
@@ -431,7 +446,7 @@ def jaccard_components(
     distinct k-word shingles, of fewer words the whole sequence. Sets link when 100 * |x n y| >=
     percent * |x u y|. The steps, each exact:
 
-    1. Equal sets collapse to the smallest id. A document with over 100 - percent % shingles that
+    1. Equal sets collapse to one class with a number of its own. A document with over 100 - percent % shingles that
        no other has can link to none and leaves (packed hashes, one shuffle).
     2. Of the others, shingles are ordered by the number of sets that have them, and the rarest
        n - T + 1 of each set go to inverted lists.
@@ -440,18 +455,23 @@ def jaccard_components(
 
     Null text has no words; a set without words links to nothing and is its own component. Rows
     without an id have component null and link to nothing. Rows that repeat an id are sets of
-    their own; links to the id of any of them bear on rows with that set. Other columns are not read.
+    their own, each with the component of its own set. Other columns are not read.
     """
+    return _components(docs, id_col, text_col, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """``jaccard_components`` with the marks of each row's set."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     size = text_bytes(rows)
     buckets, groups = max(96, size // HASH_BUCKET_BYTES), max(96, size // TEXT_BUCKET_BYTES)
-    marks = ["mark1", "mark2", "n_shingles"]
     known = written(profiles(rows, k, buckets, groups), "shingle-profiles")
-    classes = written(known.where("n_shingles > 0 and doc_id is not null").groupBy(*marks).agg(
-        F.min("doc_id").alias("rep"), F.min("n_alone").alias("n_alone")
-    ), "shingle-classes")
+    # The number is fixed by being written; an id can't stand for a class, as it may have several texts.
+    classes = written(known.where("n_shingles > 0 and doc_id is not null").groupBy(*MARKS).agg(
+        F.min("doc_id").alias("first_id"), F.min("n_alone").alias("n_alone")
+    ).withColumn("rep", F.monotonically_increasing_id()), "shingle-classes")
     able = classes.where((F.col("n_shingles") - F.col("n_alone")) * 100 >= F.col("n_shingles") * percent)
-    sets = written(sets_of(rows.where(F.col("doc_id").isNotNull()), able.select("rep", "mark1", "mark2"), k, groups), "shingle-sets")
+    sets = written(sets_of(rows, able.select("rep", "first_id", *MARKS), k, groups), "shingle-sets")
     entries = written(prefixes(sets, percent, buckets, groups), "shingle-lists")
     labels = entries.select("rep").distinct().withColumn("label", F.col("rep"))
     links = None
@@ -465,15 +485,52 @@ def jaccard_components(
         labels = entries.select("rep").distinct().join(named, "rep", "left").select(
             "rep", F.coalesce("low", "rep").alias("label")
         )
-    named = classes.join(labels, "rep", "left").select(*marks, F.coalesce("label", "rep").alias("component"))
-    return known.join(named, marks, "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+    named = written(classes.join(labels, "rep", "left").select(
+        *MARKS, "first_id", F.coalesce("label", "rep").alias("label")
+    ), "shingle-labels")
+    least = named.groupBy("label").agg(F.min("first_id").alias("component"))
+    named = named.join(least, "label").select(*MARKS, "component")
+    return known.join(named, MARKS, "left").select(
+        "doc_id", *MARKS, F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows whose id is the smallest of its component, all columns; rows without an id stay."""
-    groups = jaccard_components(docs, id_col, text_col, **options)
-    gone = groups.where("component_id != doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("__gone"), "left_anti")
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90,
+) -> DataFrame:
+    """The rows whose id is the smallest of its component, all columns; rows without an id stay.
+
+    Where an id has texts of which some go and some stay, its rows are told apart by the marks of their sets.
+    """
+    judged = _components(docs, id_col, text_col, k, percent).where("doc_id is not null").select(
+        F.col("doc_id").alias("__id"), *[F.col(m).alias(f"__{m}") for m in MARKS],
+        (F.col("component_id") != F.col("doc_id")).alias("__gone"),
+    )
+    judged = written(judged, "judged-sets")
+    gone = judged.where("__gone").select("__id").distinct()
+    left = docs.join(gone, docs[id_col] == F.col("__id"), "left_anti")
+    both = written(judged.groupBy("__id").agg(F.min("__gone").alias("all"), F.max("__gone").alias("any")).where(
+        "any and not all"
+    ).select("__id"), "divided-ids")
+    if both.isEmpty():
+        return left
+    some = docs.join(both, docs[id_col] == F.col("__id"), "left_semi")
+    place = docs.columns.index(text_col)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(place).fill_null("")
+            alone = pa.RecordBatch.from_arrays([texts], ["text"])
+            for first, last, data, offsets in runs(alone, 0):
+                hashes, text = shingle_sets(data, offsets, k)
+                size, one, two = set_marks(hashes, text, last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(first, last - first).columns, pa.array(one), pa.array(two), pa.array(size.astype(np.int64))],
+                    [*batch.schema.names, *keys],
+                )
+
+    keys = [f"__{m}" for m in MARKS]
+    schema = StructType([*some.schema.fields, *[StructField(c, LongType()) for c in keys]])
+    stay = judged.where("not __gone").select("__id", *keys).distinct()
+    some = some.mapInArrow(marked, schema).withColumn("__id", F.col(id_col).cast("long")).join(stay, ["__id", *keys], "left_semi")
+    return left.unionByName(some.select(*docs.columns))

@@ -213,6 +213,46 @@ def test_jaccard_rows_without_id_and_repeated_rows(spark, texts):
     assert jaccard_join.jaccard_components(frame(spark, [])).count() == 0
 
 
+@pytest.fixture(scope="module")
+def divided():
+    """Rows of which some ids have several texts, near copies of different other texts."""
+    rng = random.Random(21)
+    bases = [prose(rng, n, 6000).split() for n in (60, 90, 130, 70, 80)]
+
+    def near(b, word=None):
+        words = list(bases[b])
+        words[-1] = word or "changed"
+        return " ".join(words)
+
+    rows = [(n, " ".join(w)) for n, w in enumerate(bases[:3], 1)]
+    rows += [(50, near(0)), (50, near(1)), (50, near(2)), (50, " ".join(bases[3])), (60, near(3)), (60, near(2, "again"))]
+    rows += [(70, " ".join(bases[4])), (70, " ".join(bases[4])), (70, None), (71, near(4)), (None, near(4)), (None, near(0)), (3, near(1, "again"))]
+    return rows
+
+
+def brute_rows(rows, k=3, percent=90):
+    """(id, n_shingles, component) of each row, every row being a set of its own."""
+    numbered = brute_components(list(enumerate(t for _, t in rows if _ is not None)), k, percent)
+    ids = [i for i, _ in rows if i is not None]
+    least = {}
+    for n, (_, root) in numbered.items():
+        least[root] = min(least.get(root, ids[n]), ids[n])
+    return [(ids[n], size, least[root]) for n, (size, root) in numbered.items()]
+
+
+def test_jaccard_components_of_ids_with_several_texts(spark, divided):
+    found = jaccard_join.jaccard_components(frame(spark, divided)).where("doc_id is not null")
+    assert rows_of(found) == sorted(brute_rows(divided), key=repr)
+
+
+def test_one_of_each_of_ids_with_several_texts(spark, divided):
+    rows = [(i, t) for i, t in divided if i is not None]
+    wanted = [(i, t) for (i, t), (_, _, low) in zip(rows, brute_rows(rows)) if low == i] + [r for r in divided if r[0] is None]
+    kept = jaccard_join.one_of_each(frame(spark, divided))
+    assert kept.columns == frame(spark, []).columns
+    assert rows_of(kept.select("doc_id", "text")) == sorted(wanted, key=repr)
+
+
 def test_divide_skip_finds_what_a_scan_finds():
     rng = random.Random(1)
     sets = []
