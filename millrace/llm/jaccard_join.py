@@ -20,6 +20,8 @@ HELD_TOKENS = 3_000_000
 HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 20 << 20, 5 << 20
 #: Documents of one search block: bounds its memory, not its result.
 BLOCK = 256
+#: Sets of one part of an inverted list when all pairs are wanted.
+LIST_PART = 1000
 STAR_ROUNDS = 2
 NO_ID = np.int64(np.iinfo(np.int64).max)
 
@@ -437,6 +439,47 @@ def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
     ).distinct()
 
 
+def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """All pairs (hub, rep) of different sets that share a prefix token, from lists split into parts.
+
+    Each part of a list meets each other part by itself, so a long list spreads over tasks.
+    """
+    parts = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / LIST_PART).cast("int").alias("parts"))
+    dealt = entries.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = dealt.select("token", F.col("part").alias("i"), others.alias("j"), "rep", "n", "place")
+    right = dealt.select("token", others.alias("i"), F.col("part").alias("j"), F.col("rep").alias("hub"),
+                         F.col("n").alias("other_n"), F.col("place").alias("other_place"))
+    return left.join(right, ["token", "i", "j"]).where("rep < hub").where(_possible(percent)).select("hub", "rep").distinct()
+
+
+def jaccard_links(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90,
+) -> tuple[DataFrame, DataFrame]:
+    """Every link between different sets, and the rows that have each set.
+
+    Links: a < b, the class numbers of two sets that link (see ``jaccard_components``), each pair once.
+    Members: one row per input row: doc_id, n_shingles, class_id, n_links (other sets that the row's
+    set links to). Rows with one class_id have equal sets. Rows without an id or words have class_id
+    null and no links. Numbers hold within one call. Every linked pair is a row, so the cost grows
+    with the square of a family whose members all link.
+    """
+    known, classes, sets, entries = _lists(docs, id_col, text_col, k, percent)
+    pairs = written(all_pairs(entries, percent), "shingle-pairs")
+    links = written(verified(pairs, sets, percent, within=False).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct(), "shingle-links")
+    ends = links.select(F.col("a").alias("rep")).unionByName(links.select(F.col("b").alias("rep")))
+    counts = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    named = classes.select(*MARKS, "rep").join(counts, "rep", "left")
+    has_id = F.col("doc_id").isNotNull()
+    members = known.join(named, MARKS, "left").select(
+        "doc_id", "n_shingles", F.when(has_id, F.col("rep")).alias("class_id"),
+        F.coalesce(F.when(has_id, F.col("n_links")), F.lit(0)).alias("n_links"),
+    )
+    return links, members
+
+
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90,
 ) -> DataFrame:
@@ -460,8 +503,8 @@ def jaccard_components(
     return _components(docs, id_col, text_col, k, percent).select("doc_id", "n_shingles", "component_id")
 
 
-def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """``jaccard_components`` with the marks of each row's set."""
+def _lists(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> tuple[DataFrame, ...]:
+    """Profiles of all rows, classes of equal sets, the sets that may link, and their prefix lists."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     size = text_bytes(rows)
     buckets, groups = max(96, size // HASH_BUCKET_BYTES), max(96, size // TEXT_BUCKET_BYTES)
@@ -473,6 +516,12 @@ def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: in
     able = classes.where((F.col("n_shingles") - F.col("n_alone")) * 100 >= F.col("n_shingles") * percent)
     sets = written(sets_of(rows, able.select("rep", "first_id", *MARKS), k, groups), "shingle-sets")
     entries = written(prefixes(sets, percent, buckets, groups), "shingle-lists")
+    return known, classes, sets, entries
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """``jaccard_components`` with the marks of each row's set."""
+    known, classes, sets, entries = _lists(docs, id_col, text_col, k, percent)
     labels = entries.select("rep").distinct().withColumn("label", F.col("rep"))
     links = None
     for turn in range(STAR_ROUNDS + 1):

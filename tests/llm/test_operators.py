@@ -253,6 +253,33 @@ def test_one_of_each_of_ids_with_several_texts(spark, divided):
     assert rows_of(kept.select("doc_id", "text")) == sorted(wanted, key=repr)
 
 
+@pytest.mark.parametrize("block,part", [(256, 1000), (4, 7)])
+def test_jaccard_links_loses_no_link(spark, texts, divided, monkeypatch, block, part):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "LIST_PART", part)
+    rng, rows = random.Random(8), [*texts, *divided]
+    family = prose(rng, 200, 3000).split()
+    for i in range(30):
+        words = list(family)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(200)] = f"new{rng.randrange(30)}"
+        rows.append((1000 + i, " ".join(words)))
+    sets = []
+    for i, t in rows:
+        w = WORD.findall(lower(t or ""))
+        sets.append(frozenset(tuple(w[p:p + 3]) for p in range(len(w) - 2)) if len(w) >= 3 else frozenset({tuple(w)} - {()}))
+    kinds = {s for s, (i, _) in zip(sets, rows) if s and i is not None}
+    linked = {s: sum(s != o and 100 * len(s & o) >= 90 * len(s | o) for o in kinds) for s in kinds}
+    links, members = jaccard_join.jaccard_links(frame(spark, rows))
+    found = members.collect()
+    wanted = [(i, len(s), linked[s] if i is not None and s else 0) for s, (i, _) in zip(sets, rows)]
+    assert sorted(((r["doc_id"], r["n_shingles"], r["n_links"]) for r in found), key=repr) == sorted(wanted, key=repr)
+    assert len({r["class_id"] for r in found} - {None}) == len(kinds)
+    pairs = {(r["a"], r["b"]) for r in links.collect()}
+    assert len(pairs) == links.count() == sum(linked.values()) // 2 and all(a < b for a, b in pairs)
+    assert sum(linked.values()) // 2 > len(kinds)
+
+
 def test_divide_skip_finds_what_a_scan_finds():
     rng = random.Random(1)
     sets = []
