@@ -38,19 +38,20 @@ def split_logs(
 ) -> list[StreamingQuery]:
     """Raw logs to start, page and display topics; malformed texts to their own.
 
-    Here and in the next stages, ``schema`` names the log fields that are carried on.
+    Start and page logs are the whole source records with only ``common.is_new`` replaced.
+    In the next stages, ``schema`` names the log fields that are carried on.
     """
     def parsed():
         return logs.parse(topics.read_stream(ODS, files_per_batch=files_per_batch), schema=schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_routed(topics, logs.split_lines(batch, schema.names), "split_logs", batch_id)
+        write_routed(topics, logs.split_lines(batch, schema.names, "value"), "split_logs", batch_id)
 
     def write_dirty(batch: DataFrame, batch_id: int) -> None:
         write_routed(topics, batch.withColumn("topic", F.lit(DIRTY)), "dirty_logs", batch_id)
 
     # Lanes leave a visitor that keeps claiming to be new few rows for its one task.
-    repaired = state.repair_is_new_stream(logs.good(parsed()), tiebreak=POSITION, lanes=LANES)
+    repaired = state.repair_is_new_stream(logs.good(parsed(), keep_text=True), tiebreak=POSITION, lanes=LANES)
     return [
         start_batches(repaired, write, f"{checkpoint}/split", trigger, "split_logs"),
         start_batches(logs.dirty(parsed()), write_dirty, f"{checkpoint}/dirty", trigger, "dirty_logs"),

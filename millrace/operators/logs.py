@@ -42,9 +42,9 @@ def parse(
     return parsed.select(*lines.columns, *fields, is_dirty.alias("is_dirty"))
 
 
-def good(parsed: DataFrame, value: str = "value") -> DataFrame:
-    """Well-formed records, without the source text."""
-    return parsed.where(~F.col("is_dirty")).drop("is_dirty", value)
+def good(parsed: DataFrame, value: str = "value", keep_text: bool = False) -> DataFrame:
+    """Well-formed records, without the source text unless it is to be kept."""
+    return parsed.where(~F.col("is_dirty")).drop("is_dirty", *([] if keep_text else [value]))
 
 
 def dirty(parsed: DataFrame, value: str = "value") -> DataFrame:
@@ -120,8 +120,28 @@ PAGE_TOPIC = "dwd_page_log"
 DISPLAY_TOPIC = "dwd_display_log"
 
 
-def split_lines(records: DataFrame, fields: Sequence[str] = tuple(ODS_LOG.names)) -> DataFrame:
-    """The three-way split in one pass: ``topic, value`` rows of all three sides."""
+def _whole(text: Column, is_new: Column) -> Column:
+    """The record of a source text with only ``common.is_new`` replaced, where it has one."""
+    fields = "map<string,variant>"
+    top = F.try_parse_json(text).cast(fields)
+    common = F.transform_values(
+        top["common"].cast(fields),
+        lambda k, v: F.when((k == "is_new") & is_new.isNotNull(), is_new.cast("variant")).otherwise(v),
+    )
+    return F.to_json(F.transform_values(
+        top, lambda k, v: F.when(k == "common", F.to_variant_object(common)).otherwise(v)
+    ))
+
+
+def split_lines(
+    records: DataFrame, fields: Sequence[str] = tuple(ODS_LOG.names), text: str | None = None
+) -> DataFrame:
+    """The three-way split in one pass: ``topic, value`` rows of all three sides.
+
+    ``text`` names the source text: start and page logs are then the whole source record with only
+    ``common.is_new`` replaced.  Without it, or where a record names a field twice, they have
+    ``fields`` alone.
+    """
     none = F.lit(None).cast("map<string,string>")
     entry = lambda topic, item: F.struct(F.lit(topic).alias("topic"), item.alias("item"))
     shown = F.transform(
@@ -131,11 +151,16 @@ def split_lines(records: DataFrame, fields: Sequence[str] = tuple(ODS_LOG.names)
     targets = F.when(is_start(), F.array(entry(START_TOPIC, none))).otherwise(
         F.concat(F.array(entry(PAGE_TOPIC, none)), shown)
     )
-    rows = records.select(*fields, F.explode(targets).alias("_to")).select(*fields, "_to.*")
+    source = F.lit(None).cast("string") if text is None else F.col(text)
+    rows = records.select(*fields, source.alias("_text"), F.explode(targets).alias("_to")).select(
+        *fields, "_text", "_to.*"
+    )
     display = F.to_json(_display(F.col("item"), F.col("page.page_id")))
     # An object under `start` is written as one again, a plain text as text.
     start = F.coalesce(F.try_parse_json("start"), F.col("start").cast("variant")).alias("start")
     whole = F.to_json(F.struct(*[start if c == "start" else c for c in fields]))
+    if text is not None:
+        whole = F.coalesce(_whole(F.col("_text"), F.col("common.is_new")), whole)
     return rows.select(
         "topic", F.when(F.col("topic") == DISPLAY_TOPIC, display).otherwise(whole).alias("value")
     )

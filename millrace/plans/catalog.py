@@ -88,6 +88,27 @@ def log_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
+@query
+def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of the split, of texts with fields that the layout of logs does not name."""
+    seq = F.col("seq").cast("string")
+    text = F.concat(F.lit('{"err":{"code":'), seq, F.lit('},"actions":[{"id":'), seq, F.lit("}],"), F.expr("substr(value, 2)"))
+    for name, field, mark in (("common", "uid", "u"), ("page", "item", "p")):
+        text = F.regexp_replace(
+            text, F.lit(f'"{name}":\\{{'), F.concat(F.lit(f'"{name}":{{"{field}":"{mark}'), seq, F.lit('",'))
+        )
+    parsed = logs.parse(a.log_lines(spark, sf_dir).select("seq", text.alias("value")))
+    lines = logs.split_lines(logs.repair_is_new(logs.good(parsed, keep_text=True)), text="value")
+    paths = {
+        "mid": "$.common.mid", "is_new": "$.common.is_new", "uid": "$.common.uid", "page_item": "$.page.item",
+        "action": "$.actions[0].id", "err": "$.err.code", "ts": "$.ts", "start": "$.start", "shown": "$.item",
+    }
+    found = {name: F.get_json_object("value", path) for name, path in paths.items()}
+    found["start"] = found["start"].isNotNull()
+    page = F.coalesce(F.get_json_object("value", "$.page.page_id"), F.get_json_object("value", "$.page_id"))
+    return lines.select("topic", *[c.alias(name) for name, c in found.items()], page.alias("page_id"))
+
+
 @query
 def start_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _brief(logs.start_logs(a.pages(spark, sf_dir)), "start")

@@ -220,6 +220,14 @@ SELECT seq, mid, is_new, vc, ch, ar, page_id, last_page_id, during_time, start,
 SELECT 'start' AS side, count(*) AS n FROM pages WHERE start IS NOT NULL
 UNION ALL SELECT 'page', count(*) FROM pages WHERE start IS NULL
 UNION ALL SELECT 'display', CAST(sum(n_displays) AS BIGINT) FROM pages WHERE start IS NULL""",
+    "split_lines": f"""{_REPAIRED}
+SELECT CASE WHEN start IS NULL THEN 'dwd_page_log' ELSE 'dwd_start_log' END AS topic, mid, is_new, 'u' || seq AS uid,
+       'p' || seq AS page_item, CAST(seq AS VARCHAR) AS action, CAST(seq AS VARCHAR) AS err, CAST(ts AS VARCHAR) AS ts,
+       start IS NOT NULL AS start, NULL AS shown, page_id
+FROM repaired
+UNION ALL
+SELECT 'dwd_display_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, false, 'i' || n, page_id
+FROM pages, unnest(range(1, n_displays + 1)) AS u(n) WHERE start IS NULL""",
     "start_logs": f"{_PAGES} SELECT seq, mid, ts, start FROM pages WHERE start IS NOT NULL",
     "display_explode": f"""{_PAGES}
 SELECT 'i' || n AS item, CAST(n AS VARCHAR) AS "order", page_id

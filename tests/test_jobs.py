@@ -79,6 +79,20 @@ def test_log_stages(spark, topics, tmp_path):
     assert len(get(topics, "dwd_page_log")) == 5
 
 
+def test_split_keeps_fields_outside_the_schema(spark, topics, tmp_path):
+    raw = {
+        "common": {"mid": "a", "is_new": "1", "uid": "u1", "os": "x 1", "deep": {"n": [1, 2.5, None]}},
+        "page": {"page_id": "p1", "item": "7", "during_time": 3}, "actions": [{"id": 1, "t": "é"}], "err": {"code": 5}, "ts": 1000,
+    }
+    later = {**raw, "ts": 2000, "err": None}
+    start = {"common": {"mid": "b", "md": "m"}, "start": {"entry": "icon", "ms": 12}, "ts": 5}
+    put(topics, "ods_base_log", raw, later, start)
+    drain(topics, tmp_path, "split_logs")
+    again = {**later, "common": {**raw["common"], "is_new": "0"}}
+    assert sorted(get(topics, "dwd_page_log"), key=lambda r: r["ts"]) == [raw, again]
+    assert get(topics, "dwd_start_log") == [start]
+
+
 RULE_FIELDS = ["source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk"]
 
 
