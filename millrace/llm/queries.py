@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    chat_format, decontamination, exact_dedup, jaccard_join, language_id, license_scan, line_dedup,
+    chat_format, decontamination, exact_dedup, filter_audit, jaccard_join, language_id, license_scan, line_dedup,
     sentencepiece_bpe, substring_dedup, toxicity,
 )
 from millrace.llm.common import table
@@ -84,9 +84,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="largest", ascii_case=True)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_sentencepiece, op3_decontamination, op4_substring_dedup, op5_chat_format, op6_license_scan,
-    op7_toxicity, op8_line_dedup, op9_language_id, op10_exact_dedup,
+    op7_toxicity, op8_line_dedup, op9_language_id, op10_exact_dedup, op11_filter_audit,
 )}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -148,4 +152,39 @@ with d as (select doc_id, {LOWER.format("coalesce(text, '')")} as body from docu
 g as (select body, max(doc_id) as keep_id, count(*) as group_size from d group by body)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(body) as text_sha256
 from d join g using (body)""",
+    "op11_filter_audit": r"""
+with d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+firsts as (select t, min(doc_id) as first from d group by t),
+f as (
+  select doc_id, part,
+    (case when len(w) < 100 then 'A' else '' end)
+    || (case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end)
+    || (case when 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) then 'C' else '' end)
+    || (case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end)
+    || (case when doc_id > first then 'E' else '' end) as fails
+  from d join firsts using (t)),
+marks as (
+  select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+m as (select part, fails, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic from f left join marks using (doc_id)),
+l as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order from l a, l b, l c, l d, l e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (
+  select filter_order, step, filter_order[step] as it, filter_order[1:step - 1] as earlier
+  from o, (select unnest(range(1, 6)) as step)),
+r as (
+  select part, filter_order, step::int as step, it, fails = it as only_it, contains(fails, it) as fails_it,
+    fails <> '' and earlier <> '' and len(list_intersect(string_split(fails, ''), string_split(earlier, ''))) > 0 as gone, good, toxic from m, s),
+g as (
+  select part, filter_order, step, it, count(*) filter (not fails_it and not gone) as kept,
+    count(*) filter (fails_it and not gone) as removed, count(*) filter (fails_it and gone) as redundant,
+    count(*) filter (only_it) as unique_fails,
+    coalesce(sum(good) filter (fails_it and not gone), 0)::bigint as good_lost,
+    coalesce(sum(toxic) filter (fails_it and not gone), 0)::bigint as toxic_lost
+  from r group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, it))::bigint as shapley from g""",
 }
