@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import (
-    chat_format, decontamination, exact_dedup, filter_audit, jaccard_join, language_id, license_scan, line_dedup,
-    sentencepiece_bpe, substring_dedup, toxicity,
+    chat_format, decontamination, exact_dedup, filter_audit, importance, jaccard_join, language_id, license_scan,
+    line_dedup, sentencepiece_bpe, substring_dedup, toxicity,
 )
 from millrace.llm.common import table
 
@@ -88,9 +88,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_sentencepiece, op3_decontamination, op4_substring_dedup, op5_chat_format, op6_license_scan,
     op7_toxicity, op8_line_dedup, op9_language_id, op10_exact_dedup, op11_filter_audit,
+    op12_importance_resampling,
 )}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -187,4 +192,45 @@ g as (
   from r group by all)
 select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) over (partition by part, it))::bigint as shapley from g""",
+    "op12_importance_resampling": f"""
+with steps as (
+  select list_transform(range(256), lambda c: list_reduce(list_concat([c], range(8)),
+    lambda a, i: xor(a >> 1, case when a & 1 = 1 then 3988292384 else 0 end))) as t),
+texts as (
+  select 0 as of, doc_id as id, text from documents union all select 1, item_id, text from benchmark),
+words as (
+  select of, id, list_filter(regexp_split_to_array({LOWER.format("coalesce(text, '')")},
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') as w from texts),
+grams as (
+  select of, id, len(w) as n_words, unnest(list_concat(w,
+    list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]),
+    list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) as f
+  from words),
+counted as (select of, id, f, count(*) as n from grams group by all),
+names as (select f, hex(encode(f)) as h from (select distinct f from counted)),
+crcs as (
+  select f, xor(list_reduce(list_concat([4294967295::bigint],
+      list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket from names, steps),
+hashed as (select of, id, bucket, sum(n)::bigint as n from counted join crcs using (f) group by all),
+sums as (
+  select bucket, coalesce(sum(n) filter (of = 0), 0)::double as s, coalesce(sum(n) filter (of = 1), 0)::double as t
+  from hashed group by bucket),
+gains as (
+  select bucket, floor(1000 * ln((t + 1) * ((select sum(s) from sums) + 10000)
+    / ((s + 1) * ((select sum(t) from sums) + 10000))))::bigint as gain from sums),
+weights as (
+  select id as doc_id, sum(n)::bigint as n_features, sum(n * gain)::bigint as weight
+  from hashed join gains using (bucket) where of = 0 group by id),
+scored as (
+  select words.id as doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || words.id), 1, 8))::bigint + 0.5::double)
+      / 4294967296::double)))::bigint as score
+  from words left join weights on words.id = doc_id where of = 0),
+ranked as (
+  select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as place from scored)
+select doc_id, n_features, weight, score,
+  case when n_words >= 20 and place <= (select 5 * count(*) filter (n_words >= 20) // 100 from scored)
+    then place end as rank
+from ranked""",
 }
