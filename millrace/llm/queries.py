@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (
     chat_format, decontamination, exact_dedup, filter_audit, importance, jaccard_join, language_id, license_scan,
-    line_dedup, sentencepiece_bpe, substring_dedup, toxicity,
+    line_dedup, personal_data, sentencepiece_bpe, substring_dedup, toxicity,
 )
 from millrace.llm.common import table
 
@@ -92,10 +92,23 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _listed(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(table(spark, sf_dir, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in personal_data.BASE],
+        F.sha2(_listed(of(*personal_data.BASE)), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_sentencepiece, op3_decontamination, op4_substring_dedup, op5_chat_format, op6_license_scan,
     op7_toxicity, op8_line_dedup, op9_language_id, op10_exact_dedup, op11_filter_audit,
-    op12_importance_resampling,
+    op12_importance_resampling, op13_personal_data,
 )}
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
