@@ -123,26 +123,51 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", par
     return rows.mapInArrow(measured, MEASURES)
 
 
-def failures(measured: DataFrame) -> DataFrame:
-    """``measured`` with ``fails``, the letters of the filters that a row fails, in order.
+def with_text_failures(measured: DataFrame) -> DataFrame:
+    """``measured`` with ``fails``, the letters of the filters that the text itself fails, in order.
 
     A: under ``LEAST_WORDS`` words; B: distinct words under ``DISTINCT_PERCENT`` of the words; C: A-Z
-    over ``CAPITAL_PERCENT`` of the code points; D: holds one of ``SYMBOLS``; E: a smaller id has
-    the same text. Texts count as the same by their SHA-256. A row without an id never fails E
-    and fails nobody; rows that repeat an id and its text do not fail each other.
+    over ``CAPITAL_PERCENT`` of the code points; D: holds one of ``SYMBOLS``.
     """
-    firsts = measured.groupBy("body").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-    shared = firsts.where(F.col("copies") > 1).select(F.col("body").alias("of_body"), "first")
-    joined = measured.join(shared, F.col("body") == F.col("of_body"), "left")
     conditions = {
         "A": F.col("n_words") < LEAST_WORDS,
         "B": 100 * F.col("n_distinct") < DISTINCT_PERCENT * F.col("n_words"),
         "C": 100 * F.col("n_capitals") > CAPITAL_PERCENT * F.col("n_points"),
         "D": F.col("n_symbols") > 0,
-        "E": F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)),
     }
-    letters = [F.when(conditions[x], x).otherwise("") for x in FILTERS]
-    return joined.withColumn("fails", F.concat(*letters)).drop("of_body", "first")
+    return measured.withColumn("fails", F.concat(*[F.when(c, x).otherwise("") for x, c in conditions.items()]))
+
+
+def failure_counts(failing: DataFrame) -> DataFrame:
+    """(part, fails, n, n_good, n_toxic) of rows doc_id, part, body, fails, good, toxic, with filter E added.
+
+    E: a smaller id has the same text; texts count as the same by their SHA-256. Of each text and
+    part only the sums and the rows of the smallest id leave a map task, so copies that are a third of
+    all rows never meet; then the smallest id of a text over all parts tells which rows do not fail.
+    A row without an id never fails E and fails nobody; rows that repeat an id do not fail each other.
+    """
+    sums = lambda name: F.sum(name).alias(name)
+    alone = failing.where(F.col("doc_id").isNull()).groupBy("part", "fails").agg(
+        F.count(F.lit(1)).alias("n"), sums("good").alias("n_good"), sums("toxic").alias("n_toxic")
+    )
+    by_id = failing.where(F.col("doc_id").isNotNull()).groupBy("body", "part", "doc_id").agg(
+        F.min("fails").alias("fails"), F.count(F.lit(1)).alias("n"), F.sum("good").alias("n_good"), F.sum("toxic").alias("n_toxic")
+    )
+    by_part = by_id.groupBy("body", "part").agg(
+        F.min("fails").alias("fails"), sums("n"), sums("n_good"), sums("n_toxic"),
+        F.min(F.struct("doc_id", "n", "n_good", "n_toxic")).alias("lead"),
+    )
+    firsts = by_part.groupBy("body").agg(F.min("lead.doc_id").alias("first"), F.count(F.lit(1)).alias("parts"))
+    elsewhere = firsts.where(F.col("parts") > 1).select(F.col("body").alias("of_body"), "first")
+    joined = by_part.join(elsewhere, F.col("body") == F.col("of_body"), "left")
+    leads = F.coalesce(F.col("lead")["doc_id"] == F.col("first"), F.lit(True))
+    kept = {c: F.when(leads, F.col("lead")[c]).otherwise(F.lit(0)) for c in ("n", "n_good", "n_toxic")}
+    sides = F.explode(F.array(
+        F.struct(F.col("fails").alias("fails"), *[x.alias(c) for c, x in kept.items()]),
+        F.struct(F.concat("fails", F.lit("E")).alias("fails"), *[(F.col(c) - x).alias(c) for c, x in kept.items()]),
+    ))
+    told_apart = joined.select("part", sides.alias("side")).select("part", "side.*").where("n > 0")
+    return told_apart.unionByName(alone).groupBy("part", "fails").agg(sums("n"), sums("n_good"), sums("n_toxic"))
 
 
 def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang") -> DataFrame:
@@ -153,17 +178,14 @@ def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     copies are found on them; documents are then counted by part and set of failed filters, at
     most 32 rows a part, and only these counts meet the orders.
     """
-    failed = failures(written(measure(docs, id_col, text_col, part_col), "filter-measures"))
+    failing = with_text_failures(written(measure(docs, id_col, text_col, part_col), "filter-measures"))
     marks = labels.groupBy(F.col("doc_id").cast("long").alias("of_id")).agg(
-        F.coalesce(F.max((F.col("quality") == 1).cast("int")), F.lit(0)).alias("good"),
-        F.coalesce(F.max((F.col("toxic") == 1).cast("int")), F.lit(0)).alias("toxic"),
-    )
-    marked = failed.select("doc_id", "part", "fails").join(marks, F.col("doc_id") == F.col("of_id"), "left")
-    counts = marked.groupBy("part", "fails").agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("n_good"),
-        F.coalesce(F.sum("toxic"), F.lit(0)).alias("n_toxic"),
-    )
-    return interactions(counts)
+        F.coalesce(F.max((F.col("quality") == 1).cast("long")), F.lit(0)).alias("good"),
+        F.coalesce(F.max((F.col("toxic") == 1).cast("long")), F.lit(0)).alias("toxic"),
+    ).where("good + toxic > 0")
+    marked = failing.select("doc_id", "part", "body", "fails").join(marks, F.col("doc_id") == F.col("of_id"), "left")
+    zeros = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("good", "toxic")}
+    return interactions(failure_counts(marked.withColumns(zeros)))
 
 
 def interactions(counts: DataFrame) -> DataFrame:
