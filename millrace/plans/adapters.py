@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -317,6 +319,36 @@ def raw_business_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_dimension_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records as texts: every dimension row created with stale texts, then put right."""
+    def records(name: str, rows: DataFrame, op: str, ts_ms: int) -> DataFrame:
+        return rows.select(F.to_json(F.struct(
+            F.lit(f"feed.shop.{name}").alias("topic"), F.lit(op).alias("op"),
+            F.struct(*rows.columns).alias("after"), F.lit(ts_ms).alias("ts_ms"),
+        )).alias("value"))
+
+    found = []
+    for table_name, rows in dimensions(spark, sf_dir).items():
+        name, rows = table_name.removeprefix("DIM_").lower(), rows.toDF(*[c.lower() for c in rows.columns])
+        stale = rows.select("id", *[F.concat(F.lit("stale "), c).alias(c) for c in rows.columns[1:]])
+        found += [records(name, rows, "u", 2), records(name, stale, "c", 1)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def raw_customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records as texts that name their place: a customer's state is that of the last order."""
+    priority = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select(F.to_json(F.struct(
+        F.lit("feed.shop.customer_state").alias("topic"), F.lit("u").alias("op"),
+        F.struct(
+            F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status"), priority.alias("priority")
+        ).alias("after"),
+        F.struct(
+            F.date_format("o_orderdate", "yyyyMMdd").alias("file"), F.col("o_orderkey").alias("pos")
+        ).alias("source"),
+    )).alias("value"))
+
+
 def raw_line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of ``line_changes`` as texts that name their place in the log, in no order."""
     flag = F.col("l_returnflag")
@@ -336,18 +368,32 @@ def raw_line_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def business_rules(spark: SparkSession) -> DataFrame:
-    """Envelopes of rules that route orders, lines and payments to their topics."""
+    """Envelopes of rules that route orders, lines and payments to topics, dimensions to tables."""
     layouts = {"order_info": ORDER_INFO, "order_detail": ORDER_DETAIL, "payment_info": PAYMENT_INFO}
     images = [{
         "source_table": name, "operate_type": "insert", "sink_type": "kafka",
         "sink_table": f"dwd_{name}", "sink_columns": ",".join(layout.names),
     } for name, layout in layouts.items()]
+    images += [{
+        "source_table": name, "operate_type": kind, "sink_type": "hbase",
+        "sink_table": f"dim_{name}", "sink_columns": columns, "sink_pk": "id",
+    } for name, columns in DIMENSION_COLUMNS.items() for kind in ("insert", "update")]
     return spark.createDataFrame(
         [("config", "table_process", image, "insert") for image in images],
         "database string, tableName string, after map<string,string>, type string",
     )
 
 
+DIMENSION_COLUMNS = {
+    "user_info": "id,gender,birthday",
+    "base_province": "id,name,area_code,iso_code,iso_3166_2",
+    "sku_info": "id,sku_name,spu_id,tm_id,category3_id",
+    "spu_info": "id,spu_name",
+    "base_trademark": "id,tm_name",
+    "base_category3": "id,name",
+    "customer_state": "id,status,priority",
+}
+
 # (source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend)
 RULES = [
     ("orders", "insert", "kafka", "dwd_orders", "id,user_id,total", None, None),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import records, times
 from millrace.jobs import changes as change_jobs
 from millrace.jobs import orders as order_jobs
+from millrace.jobs.run import dimension_reader
 from millrace.operators import changes, joins, jumps, logs, lookups, orders, routing, stats, visits
 from millrace.plans import adapters as a
 from millrace.schemas import ORDER_WIDE, PAYMENT_WIDE, TABLE_PROCESS
@@ -273,20 +274,38 @@ def _drained(queries) -> None:
         query.awaitTermination()
 
 
-def _business_topics(spark: SparkSession, sf_dir: str) -> tuple[Topics, str]:
-    """Raw change records, normalised, routed by rules, and joined to wide orders."""
-    root = shared_dir(spark, "chain")
-    topics, checkpoint, drain = Topics(spark, f"{root}/topics"), f"{root}/ck", {"availableNow": True}
+def _fed(spark: SparkSession, purpose: str, raw: DataFrame, files: int = 3) -> tuple[Topics, str, str]:
+    """Raw records dealt over files in no order, through the feed and the routing job, one file per trigger."""
+    root = shared_dir(spark, purpose)
+    topics, checkpoint, dims, drain = Topics(spark, f"{root}/topics"), f"{root}/ck", f"{root}/dims", {"availableNow": True}
     write_topic(topics, a.business_rules(spark), "table_process", "rules")
-    raw = a.raw_business_changes(spark, sf_dir).withColumn("topic", F.lit("change_records"))
-    write_routed(topics, raw, "database")
-    _drained(change_jobs.normalize_feed(topics, "change_records", checkpoint, drain))
-    _drained(change_jobs.route_changes(topics, "table_process", f"{root}/dims", checkpoint, drain))
-    dims = a.dimensions(spark, sf_dir)
-    _drained(order_jobs.order_wide(topics, lambda: dims, checkpoint, drain))
+    dealt = raw.repartition(files, F.xxhash64("value")).withColumn("topic", F.lit("change_records"))
+    write_routed(topics, dealt, "database")
+    _drained(change_jobs.normalize_feed(topics, "change_records", checkpoint, drain, files_per_batch=1))
+    _drained(change_jobs.route_changes(topics, "table_process", dims, checkpoint, drain, files_per_batch=1))
+    return topics, checkpoint, dims
+
+
+def _business_topics(spark: SparkSession, sf_dir: str) -> tuple[Topics, str]:
+    """Raw change records, normalised, routed by rules to topics and dimension tables, and joined to wide orders."""
+    raw = a.raw_business_changes(spark, sf_dir).unionByName(a.raw_dimension_changes(spark, sf_dir))
+    topics, checkpoint, dims = _fed(spark, "chain", raw)
+    read = dimension_reader(topics, "table_process", dims)
+    _drained(order_jobs.order_wide(topics, read, checkpoint, {"availableNow": True}))
     return topics, checkpoint
 
 
+@query
+def chain_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension table after the routing job, its changes spread over micro-batches in no order."""
+    _, _, dims = _fed(spark, "dim-chain", a.raw_customer_changes(spark, sf_dir))
+    rule = {
+        "sink_table": "dim_customer_state", "sink_columns": a.DIMENSION_COLUMNS["customer_state"],
+        "sink_pk": "id", "sink_extend": None,
+    }
+    return DimensionTable.from_rule(spark, dims, rule).read()
+
+
 @query
 def chain_order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide orders at the end of three jobs; without the age, which follows the clock."""

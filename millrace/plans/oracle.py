@@ -265,6 +265,7 @@ SELECT 'ignored' AS reason, 'supplier' AS "tableName", 'insert' AS type,
 UNION ALL SELECT 'unmatched', 'customer', 'read', CAST(c_custkey AS VARCHAR) FROM customer""",
     "topic_round_trip": _TOPIC_LINES,
     "dim_upsert": _UPSERTED,
+    "chain_dim_upsert": _UPSERTED,
     "chain_order_wide": _order_wide(_NEAR) + "SELECT * EXCLUDE (create_ts, user_age) FROM order_wide",
     "chain_payment_wide": _order_wide(_NEAR) + f"SELECT * EXCLUDE (user_age) FROM ({_PAID})",
     "chain_cdc_current": _CURRENT,

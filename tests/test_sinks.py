@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,10 +105,56 @@ def test_newest_row_per_key(spark, tmp_path):
     customers.apply(0, ("1", "v2", "x", 2), ("1", "v1", "y", 1))
     customers.apply(1, ("2", "w", None, 0))
     assert customers.rows() == [("1", "v2", "x"), ("2", "w", None)]
-    customers.apply(2, ("1", "v3", "z", 0))
+    customers.apply(2, ("1", "v3", "z", 3))
     assert customers.rows() == [("1", "v3", "z"), ("2", "w", None)]
 
 
+def test_an_older_change_in_a_later_batch_loses(spark, tmp_path):
+    customers = Customers(spark, tmp_path)
+    customers.apply(0, ("1", "new", None, 9))
+    customers.apply(1, ("1", "old", "kept", 3))
+    assert customers.rows() == [("1", "new", "kept")]
+    customers.table.compact()
+    customers.apply(2, ("1", "older", "too old", 2), ("1", None, "newer", 4))
+    assert customers.rows() == [("1", "new", "newer")]
+
+
+def test_any_order_and_any_folding_give_the_same_table(spark, tmp_path):
+    """Against brute force: per key and column the newest non-null value."""
+    rng = random.Random(8)
+    changes = [
+        (str(rng.randrange(6)), *[rng.choice([None, f"{c}{pos}"]) for c in "nc"], pos) for pos in range(40)
+    ]
+    wanted = {}
+    for key, name, city, _ in changes:
+        old = wanted.get(key, (None, None))
+        wanted[key] = (name or old[0], city or old[1])
+    for fold_at in (2, 100):
+        rng.shuffle(changes)
+        customers = Customers(spark, tmp_path / str(fold_at))
+        for n, begin in enumerate(range(0, 40, 10)):
+            df = spark.createDataFrame(changes[begin:begin + 10], "id string, name string, city string, pos int")
+            customers.table.apply(df, ["pos"], "w", n, fold_at)
+        assert customers.rows() == sorted((k, *v) for k, v in wanted.items())
+
+
+def test_folding_is_bounded_and_another_reader_finds_the_last_commit(spark, tmp_path):
+    customers = Customers(spark, tmp_path)
+    for n in range(11):
+        customers.apply(n, (str(n), "a", "x", n))
+    last = customers.table._last()
+    assert len(last.deltas) < 8 and last.base_rows + last.delta_rows == 11
+    again = DimensionTable(spark, str(tmp_path), table_schema("id,name,city"))
+    assert again.read().count() == 11 and again._last() == last
+
+
+def test_changes_need_one_kind_of_order(spark, tmp_path):
+    customers = Customers(spark, tmp_path)
+    customers.apply(0, ("1", "a", "x", 0))
+    with pytest.raises(ValueError, match="ordered by"):
+        customers.table.apply(spark.createDataFrame([("1", "late")], "id string, pos string"), ["pos"], "w", 1)
+
+
 def test_missing_columns_keep_their_value(spark, tmp_path):
     customers = Customers(spark, tmp_path)
     customers.apply(0, ("1", "n", "x", 0))
