@@ -12,6 +12,9 @@ from millrace.functions.records import parse_typed
 from millrace.operators.latest import first_per_key
 from millrace.schemas import CDC_ENVELOPE, CDC_RECORD
 
+#: Type of a row image: fields by name, each with its JSON type.
+FIELDS = "map<string,variant>"
+
 # One-letter operation codes of change-feed records.
 OP_CODES = {"c": "create", "u": "update", "d": "delete", "r": "read"}
 
@@ -25,15 +28,14 @@ def change_type(op: Column) -> Column:
 
 
 def _image(df: DataFrame, column: str) -> Column:
-    """A row image as map<string,string>; ``{}`` where it is absent."""
+    """A row image as map<string,variant>, nulls left out; ``{}`` where it is absent."""
     image = F.col(column)
-    if not isinstance(df.schema[column].dataType, MapType):
-        image = F.from_json(F.to_json(image), "map<string,string>")
-    known = F.map_filter(image, lambda _, v: v.isNotNull())
-    empty = F.map_from_arrays(
-        F.array().cast("array<string>"), F.array().cast("array<string>")
-    )
-    return F.coalesce(known, empty)
+    if isinstance(df.schema[column].dataType, MapType):
+        image = image.cast(FIELDS)
+    else:
+        image = F.from_json(F.to_json(image), FIELDS)
+    known = F.map_filter(image, lambda _, v: v.isNotNull() & ~F.is_variant_null(v))
+    return F.coalesce(known, F.create_map().cast(FIELDS))
 
 
 def normalize(
@@ -105,11 +107,11 @@ def only_tables(changes: DataFrame, *tables: str) -> DataFrame:
 
 def snapshot_as_changes(snapshot: DataFrame, database: str, table: str) -> DataFrame:
     """Rows of a table as ``read`` envelopes."""
-    image = F.from_json(F.to_json(F.struct(*snapshot.columns)), "map<string,string>")
+    image = F.from_json(F.to_json(F.struct(*snapshot.columns)), FIELDS)
     rows = snapshot.select(
         F.lit(f"snapshot.{database}.{table}").alias("topic"),
         F.lit("read").alias("op"),
-        F.lit(None).cast("map<string,string>").alias("before"),
+        F.lit(None).cast(FIELDS).alias("before"),
         image.alias("after"),
     )
     return normalize(rows)
@@ -147,7 +149,7 @@ def current_state(
     """
     names = [f"_k{i}" for i in range(len(key))]
     keyed = to_changelog(changes).withColumns(
-        {name: F.col("image")[k] for name, k in zip(names, key)}
+        {name: F.col("image")[k].cast("string") for name, k in zip(names, key)}
     )
     known = keyed.dropna(subset=names).withColumn("image", F.when(F.col("is_add"), F.col("image")))
     newest = [F.col(c).desc() for c in order] + [F.col("is_add").desc()]
@@ -155,5 +157,5 @@ def current_state(
 
 
 def register_table(state: DataFrame, name: str, columns: Sequence[str]) -> None:
-    """Expose a change table's live rows to ``spark.sql`` as view ``name``."""
-    state.select(*[F.col("image")[c].alias(c) for c in columns]).createOrReplaceTempView(name)
+    """Expose a change table's live rows to ``spark.sql`` as view ``name``, fields as text."""
+    state.select(*[F.col("image")[c].cast("string").alias(c) for c in columns]).createOrReplaceTempView(name)

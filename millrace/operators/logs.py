@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType, VariantType
 
 from millrace.functions.records import as_typed, numbers_as_text, parse_typed
 from millrace.schemas import ODS_LOG
@@ -19,18 +19,31 @@ def parse(
 ) -> DataFrame:
     """Log texts to records, with ``is_dirty`` set on texts that are none.
 
-    Dirty: not one JSON object, wrongly typed, or without ``common.mid``.  The text
+    Dirty: not one JSON object, without ``common.mid``, or ``ts`` no number.  A field of
+    another type elsewhere is null and does not make its record dirty.  The text
     and the other columns of ``lines`` are kept.  Pass a wider ``schema`` to carry
     more fields.  The text is parsed as a field followed by a mark, so that anything
     after the object shows instead of being passed over.
     """
-    wrapper = StructType().add("_record", numbers_as_text(schema)).add("_end", StringType())
+    loose = numbers_as_text(schema)
+    nested = [f.name for f in schema.fields if isinstance(f.dataType, (StructType, ArrayType, MapType))]
+    opened = StructType([
+        StructField(f.name, VariantType() if f.name in nested else f.dataType) for f in loose.fields
+    ])
+    wrapper = StructType().add("_record", opened).add("_end", StringType())
     wrapper = wrapper.add(_CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     wrapped = lines.withColumn(
         "_text", F.concat(F.lit('{"_record":'), F.col(value), F.lit(',"_end":"."}'))
     )
     parsed = parse_typed(wrapped, wrapper, "_text", options)
+    fields_of = lambda record: F.struct(*[
+        (F.try_variant_get(record[f.name], "$", f.dataType.simpleString()) if f.name in nested else record[f.name])
+        .alias(f.name) for f in loose.fields
+    ])
+    parsed = parsed.select(
+        *[c for c in parsed.columns if c != "_record"], F.inline(F.array(F.struct(fields_of(F.col("_record")).alias("_record"))))
+    )
     record = F.col("_record")
     is_dirty = (
         F.col(_CORRUPT).isNotNull()
@@ -98,7 +111,7 @@ def page_logs(records: DataFrame) -> DataFrame:
 def _display(item: Column, page_id: Column) -> Column:
     """A display item with its page's id."""
     others = F.map_filter(item, lambda k, _: k != "page_id")
-    owner = F.when(page_id.isNotNull(), F.create_map(F.lit("page_id"), page_id))
+    owner = F.when(page_id.isNotNull(), F.create_map(F.lit("page_id"), page_id.cast("variant")))
     return F.coalesce(F.map_concat(others, owner), others)
 
 
@@ -142,10 +155,10 @@ def split_lines(
     ``common.is_new`` replaced.  Without it, or where a record names a field twice, they have
     ``fields`` alone.
     """
-    none = F.lit(None).cast("map<string,string>")
+    none = F.lit(None).cast("map<string,variant>")
     entry = lambda topic, item: F.struct(F.lit(topic).alias("topic"), item.alias("item"))
     shown = F.transform(
-        F.coalesce("displays", F.array().cast("array<map<string,string>>")),
+        F.coalesce("displays", F.array().cast("array<map<string,variant>>")),
         lambda item: entry(DISPLAY_TOPIC, item),
     )
     targets = F.when(is_start(), F.array(entry(START_TOPIC, none))).otherwise(

@@ -53,8 +53,10 @@ def to_pages(events: DataFrame) -> DataFrame:
     display = F.transform(
         F.sequence(F.lit(1), F.lit(3)),
         lambda n: F.create_map(
-            F.lit("item"), F.concat(F.lit("i"), n.cast("string")),
-            F.lit("order"), n.cast("string"),
+            F.lit("item"), F.concat(F.lit("i"), n.cast("string")).cast("variant"),
+            F.lit("order"), n.cast("variant"),
+            F.lit("ad"), (n == 2).cast("variant"),
+            F.lit("place"), F.to_variant_object(F.struct(n.alias("row"), (n / 4).cast("decimal(4,2)").alias("depth"))),
         ),
     )
     return events.select(
@@ -176,7 +178,7 @@ def sku_dim(part: DataFrame) -> DataFrame:
 
 def remaining_parts(part: DataFrame) -> DataFrame:
     """Parts after a change feed that withdraws every one larger than size 40."""
-    image = F.from_json(F.to_json(F.struct(*part.columns)), "map<string,string>")
+    image = F.from_json(F.to_json(F.struct(*part.columns)), changes.FIELDS)
     feed = part.select(
         F.lit("feed.shop.part").alias("topic"),
         F.explode(
@@ -238,7 +240,7 @@ def dimensions(
 
 
 def _fields(*pairs: tuple[str, Column]) -> Column:
-    flat = [item for name, value in pairs for item in (F.lit(name), value.cast("string"))]
+    flat = [item for name, value in pairs for item in (F.lit(name), value.cast("variant"))]
     return F.create_map(*flat)
 
 
@@ -284,7 +286,7 @@ def shop_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         return table(spark, sf_dir, name).select(
             F.lit(f"feed.shop.{name}").alias("topic"),
             F.lit(op).alias("op"),
-            F.lit(None).cast("map<string,string>").alias("before"),
+            F.lit(None).cast(changes.FIELDS).alias("before"),
             _fields(*pairs).alias("after"),
         )
     records = (

@@ -15,7 +15,7 @@ from millrace.jobs.run import dimension_reader
 from millrace.operators import changes, joins, jumps, logs, lookups, orders, routing, stats, visits
 from millrace.plans import adapters as a
 from millrace.schemas import ORDER_WIDE, PAYMENT_WIDE, TABLE_PROCESS
-from millrace.session import shared_dir
+from millrace.session import DUPLICATES_KEY, shared_dir
 from millrace.sinks.dimensions import DimensionTable
 from millrace.sinks.topics import write_routed, write_topic
 from millrace.sources.tables import read_table
@@ -37,6 +37,7 @@ def query(fn: Query) -> Query:
     @wraps(fn)
     def pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set(DUPLICATES_KEY, "true")
         return fn(spark, sf_dir)
     QUERIES[fn.__name__] = pinned
     return pinned
@@ -117,10 +118,12 @@ def start_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def display_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items keep their types from the raw text to the topic's text."""
+    records_ = logs.good(logs.parse(a.log_lines(spark, sf_dir)))
     display = F.col("display")
-    return logs.display_logs(a.pages(spark, sf_dir)).select(
-        display["item"].alias("item"), display["order"].alias("order"),
-        display["page_id"].alias("page_id"),
+    return logs.display_logs(records_).select(
+        display["item"].cast("string").alias("item"), display["order"].cast("bigint").alias("order"),
+        display["page_id"].cast("string").alias("page_id"), F.to_json("display").alias("value"),
     )
 
 
@@ -172,7 +175,7 @@ def cdc_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = changes.to_changelog(changes.normalize(a.order_records(spark, sf_dir)))
     image = F.col("image")
     return log.select(
-        "seq", "is_add", image["id"].alias("id"), image["status"].alias("status")
+        "seq", "is_add", image["id"].cast("string").alias("id"), image["status"].cast("string").alias("status")
     )
 
 
@@ -180,7 +183,7 @@ def cdc_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     live = changes.current_state(a.line_changes(spark, sf_dir), ["id"], a.LINE_ORDER)
     image = F.col("image")
-    return live.select(image["id"].alias("id"), image["part"].alias("part"))
+    return live.select(image["id"].cast("string").alias("id"), image["part"].cast("string").alias("part"))
 
 
 @query
@@ -222,7 +225,7 @@ def route_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def route_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.unrouted(_routed(spark, sf_dir)).select(
-        "reason", "tableName", "type", F.col("after")["id"].alias("id")
+        "reason", "tableName", "type", F.col("after")["id"].cast("string").alias("id")
     )
 
 
@@ -334,7 +337,7 @@ def chain_cdc_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = changes.parse_envelopes(topics.read(change_jobs.ODS))
     image = F.col("image")
     return changes.current_state(feed, ["id"], CHANGE_ORDER).select(
-        image["id"].alias("id"), image["part"].alias("part")
+        image["id"].cast("string").alias("id"), image["part"].cast("string").alias("part")
     )
 
 

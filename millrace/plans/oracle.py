@@ -75,9 +75,10 @@ WITH feed AS (
   FROM orders
 ), images AS (
   SELECT *,
-    '{"id":"' || id || '","user_id":"' || user_id || '","status":"new"}' AS old_image,
-    '{"id":"' || id || '","user_id":"' || user_id || '","status":"' || status
-      || '","total":"' || total || '"}' AS new_image,
+    rtrim(rtrim(CAST(total AS VARCHAR), '0'), '.') AS total_text,
+    '{"id":' || id || ',"user_id":' || user_id || ',"status":"new"}' AS old_image,
+    '{"id":' || id || ',"user_id":' || user_id || ',"status":"' || status
+      || '","total":' || total_text || '}' AS new_image,
     CASE kind WHEN 0 THEN 'insert' WHEN 1 THEN 'update' ELSE 'delete' END AS type
   FROM feed
 )
@@ -95,10 +96,10 @@ SELECT id, part FROM (
 
 _TOPIC_LINES = _ORDER_FEED + """
 SELECT 'dwd_orders' AS topic,
-       '{"id":"' || id || '","user_id":"' || user_id || '","total":"' || total || '"}' AS value
+       '{"id":' || id || ',"user_id":' || user_id || ',"total":' || total_text || '}' AS value
 FROM images WHERE type = 'insert'
 UNION ALL
-SELECT 'dwd_orders_changed', '{"id":"' || id || '","status":"' || status || '"}'
+SELECT 'dwd_orders_changed', '{"id":' || id || ',"status":"' || status || '"}'
 FROM images WHERE type = 'update'
 """
 
@@ -230,7 +231,9 @@ SELECT 'dwd_display_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, false, 'i' |
 FROM pages, unnest(range(1, n_displays + 1)) AS u(n) WHERE start IS NULL""",
     "start_logs": f"{_PAGES} SELECT seq, mid, ts, start FROM pages WHERE start IS NOT NULL",
     "display_explode": f"""{_PAGES}
-SELECT 'i' || n AS item, CAST(n AS VARCHAR) AS "order", page_id
+SELECT 'i' || n AS item, CAST(n AS BIGINT) AS "order", page_id,
+       '{{"item":"i' || n || '","order":' || n || ',"ad":' || (n = 2) || ',"place":{{"depth":'
+         || ['0.25', '0.5', '0.75'][n] || ',"row":' || n || '}},"page_id":"' || page_id || '"}}' AS value
 FROM pages, unnest(range(1, n_displays + 1)) AS u(n) WHERE start IS NULL""",
     "unique_visits": f"{_PAGES} SELECT seq, mid, ts FROM ({_VISITS.format(src='pages')})",
     "user_jumps": f"{_PAGES} SELECT seq, mid, ts FROM ({_JUMPS.format(src='pages')})",
@@ -258,7 +261,7 @@ UNION ALL SELECT 'orders', type, count(*) FROM images GROUP BY type""",
     "route_kafka": _TOPIC_LINES,
     "route_dim": """
 SELECT 'dim_part' AS sink_table, 'id' AS sink_pk, 'update' AS type,
-       '{"id":"' || p_partkey || '","name":"' || p_name || '"}' AS data FROM part""",
+       '{"id":' || p_partkey || ',"name":"' || p_name || '"}' AS data FROM part""",
     "route_unmatched": """
 SELECT 'ignored' AS reason, 'supplier' AS "tableName", 'insert' AS type,
        CAST(s_suppkey AS VARCHAR) AS id FROM supplier

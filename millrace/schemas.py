@@ -11,18 +11,20 @@ from pyspark.sql.types import (
     MapType,
     StringType,
     StructType,
+    VariantType,
 )
 
 MONEY = "decimal(16,2)"
 
-_TEXTS = MapType(StringType(), StringType())
+# Row images and display items: open fields that keep their JSON types.
+_FIELDS = MapType(StringType(), VariantType())
 
 _KINDS: dict[str, DataType] = {
     "bigint": LongType(),
     "int": IntegerType(),
     "string": StringType(),
     MONEY: DecimalType(16, 2),
-    "map<string,string>": _TEXTS,
+    "map<string,variant>": _FIELDS,
 }
 
 
@@ -40,12 +42,12 @@ ODS_LOG = (
     .add("common", _struct("mid string, is_new string, vc string, ch string, ar string"))
     .add("page", _struct("page_id string, last_page_id string, during_time bigint"))
     .add("start", StringType())
-    .add("displays", ArrayType(_TEXTS))
+    .add("displays", ArrayType(_FIELDS))
     .add("ts", LongType())
 )
 
 CDC_RECORD = (
-    _struct("topic string, op string, before map<string,string>, after map<string,string>")
+    _struct("topic string, op string, before map<string,variant>, after map<string,variant>")
     .add("ts_ms", LongType())
     .add("source", _struct("file string, pos bigint, row bigint, ts_ms bigint"))
 )
@@ -57,8 +59,8 @@ CHANGE_PLACE = _struct(
 )
 
 CDC_ENVELOPE = _struct(
-    "database string, tableName string, before map<string,string>, "
-    "after map<string,string>, type string"
+    "database string, tableName string, before map<string,variant>, "
+    "after map<string,variant>, type string"
 ).add("at", CHANGE_PLACE)
 
 TABLE_PROCESS = _struct(

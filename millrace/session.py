@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DUPLICATES_KEY = "spark.sql.variant.allowDuplicateKeys"
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 
 DEFAULTS = {
@@ -16,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     STATE_STORE_KEY: ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Of a field that an object names twice the last value counts.
+    DUPLICATES_KEY: "true",
 }
 
 

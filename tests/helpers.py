@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.schemas import ODS_LOG
-from pyspark.sql.types import LongType
+from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
 
 
 
@@ -26,7 +26,15 @@ def page(mid, second, kind="N", seq=None, is_new="0", during=None, dims=("v", "c
 
 
 def pages(spark, *rows):
-    return spark.createDataFrame(list(rows), page_schema())
+    texts = StructField("displays", ArrayType(MapType(StringType(), StringType())))
+    schema = StructType([texts if f.name == "displays" else f for f in page_schema().fields])
+    rows = spark.createDataFrame(list(rows), schema)
+    return rows.withColumn("displays", F.col("displays").cast(ODS_LOG["displays"].dataType)).select(*page_schema().names)
+
+
+def plain(image):
+    """Fields of an image or display item as Python values."""
+    return {k: v.toPython() for k, v in image.items()}
 
 
 def seen(df):

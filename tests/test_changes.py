@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import changes, routing
+from helpers import plain
 from millrace.schemas import TABLE_PROCESS
 
 RECORD = "topic string, op string, before map<string,string>, after map<string,string>, pos bigint"
@@ -18,7 +19,7 @@ def feed(spark, *rows):
 def test_normalised_record(spark):
     row = feed(spark, ("t", "CREATE", None, {"id": "1", "gone": None})).first()
     assert (row.database, row.tableName, row.type) == ("shop", "t", "insert")
-    assert (row.before, row.after) == ({}, {"id": "1"})
+    assert (row.before, plain(row.after)) == ({}, {"id": "1"})
 
 
 @pytest.mark.parametrize("op, kind", [
@@ -29,19 +30,20 @@ def test_operation_names(spark, op, kind):
     assert feed(spark, ("t", op, None, {})).first().type == kind
 
 
-def test_struct_images_become_texts(spark):
+def test_struct_images_keep_their_types(spark):
     df = spark.createDataFrame(
         [("srv.shop.t", "c", None, (1, 2.5))],
         "topic string, op string, before struct<id:int,v:double>, after struct<id:int,v:double>",
     )
     row = changes.normalize(df).first()
-    assert (row.before, row.after) == ({}, {"id": "1", "v": "2.5"})
+    assert (row.before, plain(row.after)) == ({}, {"id": 1, "v": 2.5})
 
 
 def test_envelope_text_round_trip(spark):
     rows = feed(spark, ("t", "u", {"id": "1"}, {"id": "1", "n": "x"})).drop("pos")
     lines = rows.select(F.to_json(F.struct("*")).alias("value"))
-    assert changes.parse_envelopes(lines).select(rows.columns).collect() == rows.collect()
+    again = changes.parse_envelopes(lines).select(rows.columns)
+    assert again.select(F.to_json(F.struct("*")).alias("value")).collect() == lines.collect()
 
 
 def test_deletes_are_dropped_and_untyped_kept(spark):
@@ -60,18 +62,18 @@ def test_changelog_and_state(spark):
     a, b = {"id": "1", "n": "A"}, {"id": "1", "n": "B"}
     steps = [("t", "c", None, a), ("t", "u", a, b), ("t", "d", b, None)]
     log = changes.to_changelog(feed(spark, *steps)).orderBy("pos", "is_add").collect()
-    assert [(r.is_add, r.image["n"]) for r in log] == [
+    assert [(r.is_add, r.image["n"].toPython()) for r in log] == [
         (True, "A"), (False, "A"), (True, "B"), (False, "B")
     ]
     state = lambda k: [
-        r.image["n"] for r in changes.current_state(feed(spark, *steps[:k]), ["id"], ["pos"]).collect()
+        r.image["n"].toPython() for r in changes.current_state(feed(spark, *steps[:k]), ["id"], ["pos"]).collect()
     ]
     assert (state(1), state(2), state(3)) == (["A"], ["B"], [])
 
 
 def test_an_update_can_move_the_key(spark):
     rows = feed(spark, ("t", "c", None, {"id": "1"}), ("t", "u", {"id": "1"}, {"id": "2"}))
-    assert [r.image["id"] for r in changes.current_state(rows, ["id"], ["pos"]).collect()] == ["2"]
+    assert [r.image["id"].toPython() for r in changes.current_state(rows, ["id"], ["pos"]).collect()] == ["2"]
 
 
 def test_snapshot_then_changes_as_a_view(spark):
@@ -109,7 +111,7 @@ def test_routing(spark):
     [line] = routing.topic_lines(routed).collect()
     assert (line.topic, json.loads(line.value)) == ("topic_t", {"id": "1", "name": "n"})
     [dim] = routing.table_rows(routed).collect()
-    assert (dim.sink_table, dim.sink_pk, dim.data) == ("dim_t", "id", {"id": "1"})
+    assert (dim.sink_table, dim.sink_pk, plain(dim.data)) == ("dim_t", "id", {"id": "1"})
     audit = routing.unrouted(routed).select("tableName", "type", "reason").collect()
     assert sorted(map(tuple, audit)) == [
         ("t", "read", "unmatched"), ("u", "insert", "ignored"), ("v", "insert", "unmatched")

@@ -25,7 +25,9 @@ class Feed:
 
     def add(self, *rows):
         path = f"{self._root}/in/{self._n}"
-        self._spark.createDataFrame(list(rows), self._schema).coalesce(1).write.parquet(path)
+        logs_ = not isinstance(self._schema, str) and "displays" in self._schema.names
+        made = pages(self._spark, *rows) if logs_ else self._spark.createDataFrame(list(rows), self._schema)
+        made.coalesce(1).write.parquet(path)
         for name in os.listdir(path):
             os.utime(f"{path}/{name}", (1_000_000 + self._n * 10,) * 2)
         self._n += 1
@@ -161,7 +163,8 @@ def test_records_without_a_time_come_first(spark, feed):
 def test_records_keep_their_fields_in_state(spark, feed):
     row = page("a", 1, "E", during=7, displays=[{"item": "i", "n": None}], start="{}")
     feed.add(row)
-    assert feed.run(state.unique_visits_stream).collect() == pages(spark, row).collect()
+    texts = lambda df: df.select(F.to_json(F.struct("*"))).collect()
+    assert texts(feed.run(state.unique_visits_stream)) == texts(pages(spark, row))
 
 
 def test_interval_join_equals_the_batch(spark, tmp_path):
