@@ -105,6 +105,13 @@ def only_tables(changes: DataFrame, *tables: str) -> DataFrame:
     return changes.where(wanted)
 
 
+def above_place(records: DataFrame, file: str, pos: int) -> DataFrame:
+    """Placed changes above a place of the database's log; those that name no place are kept."""
+    there = F.struct(F.lit(file).alias("file"), F.lit(pos).cast("bigint").alias("pos"))
+    named = F.struct(F.col("at")["file"].alias("file"), F.col("at")["pos"].alias("pos"))
+    return records.where(F.col("at")["file"].isNull() | (named > there))
+
+
 def snapshot_as_changes(snapshot: DataFrame, database: str, table: str) -> DataFrame:
     """Rows of a table as ``read`` envelopes."""
     image = F.from_json(F.to_json(F.struct(*snapshot.columns)), FIELDS)

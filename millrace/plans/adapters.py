@@ -396,6 +396,25 @@ DIMENSION_COLUMNS = {
     "customer_state": "id,status,priority",
 }
 
+#: Place of the log (its file) at which a snapshot of lines is taken.
+HANDOVER = "19960101"
+
+RULE_CHANGE = (
+    "database string, tableName string, before map<string,string>, after map<string,string>, type string"
+)
+
+
+def _rule(kind: str, topic: str, columns: str) -> dict[str, str]:
+    return {"source_table": "orders", "operate_type": kind, "sink_type": "kafka", "sink_table": topic, "sink_columns": columns}
+
+
+_INSERTS, _UPDATES = _rule("insert", "dwd_orders", "id,user_id"), _rule("update", "dwd_orders_changed", "id,status")
+FIRST_RULES = [("config", "table_process", None, image, "insert") for image in (_INSERTS, _UPDATES)]
+CHANGED_RULES = [
+    ("config", "table_process", _INSERTS, _rule("insert", "dwd_orders_v2", "id,total"), "update"),
+    ("config", "table_process", _UPDATES, None, "delete"),
+]
+
 # (source_table, operate_type, sink_type, sink_table, sink_columns, sink_pk, sink_extend)
 RULES = [
     ("orders", "insert", "kafka", "dwd_orders", "id,user_id,total", None, None),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from millrace.session import DUPLICATES_KEY, shared_dir
 from millrace.sinks.dimensions import DimensionTable
 from millrace.sinks.topics import write_routed, write_topic
 from millrace.sources.tables import read_table
-from millrace.sources.topics import CHANGE_ORDER, Topics
+from millrace.sources.topics import CHANGE_ORDER, Start, Topics
 from millrace.streaming import joins as stream_joins
 from millrace.streaming import state
 from millrace.streaming.runner import run_to_table, start_batches
@@ -212,7 +212,7 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def route_kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.topic_lines(_routed(spark, sf_dir))
+    return routing.topic_lines(_routed(spark, sf_dir)).select("topic", "value")
 
 
 @query
@@ -341,6 +341,94 @@ def chain_cdc_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _put_orders(topics: Topics, rows: DataFrame, batch: int) -> None:
+    """Raw change records of some orders on the raw topic."""
+    raw = rows.select(F.lit("change_records").alias("topic"), F.to_json(F.struct("topic", "op", "before", "after")).alias("value"))
+    write_routed(topics, raw, "database", batch)
+
+
+def _order_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = a.order_records(spark, sf_dir)
+    return rows.where("seq % 2 = 0"), rows.where("seq % 2 = 1")
+
+
+def _fed_orders(topics: Topics) -> DataFrame:
+    feed = changes.parse_envelopes(topics.read(change_jobs.ODS))
+    key = F.coalesce(F.col("after")["id"], F.col("before")["id"])
+    return feed.select(key.cast("bigint").alias("id"), "type")
+
+
+@query
+def feed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that begins behind what is stored, and is started again once more is."""
+    root = shared_dir(spark, "latest")
+    topics, (early, late) = Topics(spark, f"{root}/topics"), _order_halves(spark, sf_dir)
+    for n, rows in enumerate((early, late)):
+        _put_orders(topics, rows, n)
+        _drained(change_jobs.normalize_feed(topics, "change_records", f"{root}/ck", {"availableNow": True}, Start("latest")))
+    return _fed_orders(topics)
+
+
+@query
+def feed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed that begins at a time."""
+    root = shared_dir(spark, "since")
+    topics, (early, late) = Topics(spark, f"{root}/topics"), _order_halves(spark, sf_dir)
+    _put_orders(topics, early, 0)
+    since = topics.read("change_records").agg(F.max("stored_ms")).first()[0] + 1
+    _put_orders(topics, late, 1)
+    _drained(change_jobs.normalize_feed(
+        topics, "change_records", f"{root}/ck", {"availableNow": True}, Start("timestamp", timestamp_ms=since)
+    ))
+    return _fed_orders(topics)
+
+
+@query
+def stream_snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's rows at a place of the log, then the changes above it: all keys, their rows and their last part.
+
+    The raw topic holds the changes below the place, too, and in no order.
+    """
+    root = shared_dir(spark, "handover")
+    topics = Topics(spark, f"{root}/topics")
+    raw = a.raw_line_changes(spark, sf_dir).withColumn("topic", F.lit("change_records"))
+    write_routed(topics, raw.repartition(2, F.xxhash64("value")), "database")
+    before = a.line_changes(spark, sf_dir).where(F.date_format("l_shipdate", "yyyyMMdd") < a.HANDOVER)
+    image = F.col("image")
+    live = lambda feed, order: changes.current_state(feed, ["id"], order).select(
+        image["id"].cast("string").alias("id"), image["part"].cast("string").alias("part")
+    )
+    for _ in range(2):  # the second start finds its work done
+        _drained(change_jobs.snapshot_feed(
+            topics, lambda: live(before, a.LINE_ORDER), "shop.last_line", a.HANDOVER, 0, "change_records", f"{root}/ck",
+            {"availableNow": True}, files_per_batch=1,
+        ))
+    feed = changes.parse_envelopes(topics.read(change_jobs.ODS))
+    key = F.coalesce(F.col("after")["id"], F.col("before")["id"]).cast("string")
+    counts = feed.groupBy(key.alias("id")).agg(
+        F.count_if(F.col("type") == "read").alias("n_read"), F.count_if(F.col("type") != "read").alias("n_changed")
+    )
+    return counts.join(live(feed, CHANGE_ORDER), "id", "left")
+
+
+@query
+def route_rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the orders under first rules, half after one rule was changed and one deleted."""
+    root = shared_dir(spark, "rules")
+    topics, (early, late) = Topics(spark, f"{root}/topics"), _order_halves(spark, sf_dir)
+    for n, (rules, rows) in enumerate(((a.FIRST_RULES, early), (a.CHANGED_RULES, late))):
+        write_topic(topics, spark.createDataFrame(rules, a.RULE_CHANGE), "table_process", "rules", n)
+        _put_orders(topics, rows, n)
+        _drained(change_jobs.normalize_feed(topics, "change_records", f"{root}/ck", {"availableNow": True}))
+        _drained(change_jobs.route_changes(topics, "table_process", f"{root}/dims", f"{root}/ck", {"availableNow": True}))
+    names = ("dwd_orders", "dwd_orders_changed", "dwd_orders_v2")
+    back = [
+        spark.read.schema("key string, value string").option("recursiveFileLookup", "true").parquet(topics.path(name))
+        .select(F.lit(name).alias("topic"), "key", "value") for name in names
+    ]
+    return reduce(DataFrame.unionByName, back)
+
+
 # Joins and wide tables
 
 def _orders_by_ms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -272,6 +272,29 @@ UNION ALL SELECT 'unmatched', 'customer', 'read', CAST(c_custkey AS VARCHAR) FRO
     "chain_order_wide": _order_wide(_NEAR) + "SELECT * EXCLUDE (create_ts, user_age) FROM order_wide",
     "chain_payment_wide": _order_wide(_NEAR) + f"SELECT * EXCLUDE (user_age) FROM ({_PAID})",
     "chain_cdc_current": _CURRENT,
+    "feed_latest": _ORDER_FEED + "SELECT id, type FROM images WHERE id % 2 = 1",
+    "feed_since": _ORDER_FEED + "SELECT id, type FROM images WHERE id % 2 = 1",
+    "stream_snapshot_feed": f"""
+WITH l AS (
+  SELECT *, strftime(l_shipdate, '%Y%m%d') >= '19960101' AS later, row_number() OVER (
+      PARTITION BY l_orderkey, strftime(l_shipdate, '%Y%m%d') >= '19960101'
+      ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_linenumber DESC, l_extendedprice DESC) AS rn
+  FROM lineitem
+), n AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS id, count(*) FILTER (NOT later AND rn = 1 AND l_returnflag <> 'R') AS n_read,
+         count(*) FILTER (later) AS n_changed
+  FROM l GROUP BY 1
+)
+SELECT n.*, part FROM n LEFT JOIN ({_CURRENT}) USING (id) WHERE n_read + n_changed > 0""",
+    "route_rule_changes": _ORDER_FEED + """
+SELECT 'dwd_orders' AS topic, 'orders:' || id AS key, '{"id":' || id || ',"user_id":' || user_id || '}' AS value
+FROM images WHERE type = 'insert' AND id % 2 = 0
+UNION ALL
+SELECT 'dwd_orders_changed', 'orders:' || id, '{"id":' || id || ',"status":"' || status || '"}'
+FROM images WHERE type = 'update' AND id % 2 = 0
+UNION ALL
+SELECT 'dwd_orders_v2', 'orders:' || id, '{"id":' || id || ',"total":' || total_text || '}'
+FROM images WHERE type = 'insert' AND id % 2 = 1""",
     "order_detail_interval": f"""{_SIDES}
 SELECT i.id AS order_id, d.id AS detail_id, i.create_time AS order_time,
        d.create_time AS detail_time

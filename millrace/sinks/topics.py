@@ -20,8 +20,9 @@ DEFAULT_TOPIC = "dwd_default_topic"
 def write_routed(
     topics: Topics, lines: DataFrame, writer: str, batch_id: int = 0
 ) -> None:
-    """Write ``topic, value`` rows, each to its own topic."""
-    rows = lines.select(F.coalesce("topic", F.lit(DEFAULT_TOPIC)).alias("topic"), "value")
+    """Write ``topic, value`` rows, each to its own topic; a column ``key`` goes along, but not to text files."""
+    key = ["key"] if "key" in lines.columns and topics.file_format != "text" else []
+    rows = lines.select(F.coalesce("topic", F.lit(DEFAULT_TOPIC)).alias("topic"), *key, "value")
     if topics.backend == "kafka":
         rows.write.format("kafka").options(**topics.options).save()
         return

@@ -12,8 +12,10 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 POSITION = ("src", "part", "off")
@@ -86,7 +88,7 @@ class Topics:
 
     def _file_records(self, reader, topic: str, start: Start) -> DataFrame:
         if start.mode not in ("initial", "timestamp"):
-            raise ValueError("file topics start at 'initial' or at a 'timestamp'")
+            raise ValueError("file topics start at 'initial' or at a 'timestamp'; pin 'latest' first")
         rows = reader.schema("value string").format(self.file_format)
         rows = rows.option("recursiveFileLookup", "true").load(self.path(topic))
         if start.mode == "timestamp":
@@ -106,6 +108,34 @@ class Topics:
         )
 
 
+def pinned_start(topics: Topics, topic: str, start: Start, checkpoint: str) -> Start:
+    """``latest`` of a file topic as the time behind what is stored now, kept under ``checkpoint``.
+
+    A query that is started again there begins where it first began, so nothing stored between is
+    passed over.  Other starts, and Kafka, which keeps its offsets itself, stay as they are.
+    """
+    if topics.backend == "kafka" or start.mode != "latest":
+        return start
+    path, spark = f"{checkpoint}/start", topics.spark
+    kept = first_row(spark, path, "begin_ms bigint")
+    if kept is None:
+        try:
+            newest = topics.read(topic).agg(F.max("stored_ms")).first()[0]
+        except AnalysisException:  # nothing stored yet
+            newest = None
+        kept = ((newest or 0) + 1,)
+        spark.createDataFrame([kept], "begin_ms bigint").coalesce(1).write.mode("overwrite").parquet(path)
+    return Start("timestamp", timestamp_ms=kept[0])
+
+
+def first_row(spark: SparkSession, path: str, schema: str | StructType):
+    """The first row stored at ``path``; none if there is nothing."""
+    try:
+        return spark.read.schema(schema).parquet(path).first()
+    except AnalysisException:
+        return None
+
+
 def _file_order() -> Column:
     """Files of one write by their number, then by a hash of the path that tells files apart."""
     path = F.col("_metadata.file_path")

@@ -8,7 +8,7 @@ from millrace.operators import orders as order_ops
 from millrace.operators import routing
 from millrace.operators.changes import current_state
 from millrace.sources.changefeed import table_feed
-from millrace.sources.topics import CHANGE_ORDER, POSITION, Topics
+from millrace.sources.topics import CHANGE_ORDER, POSITION, Start, Topics
 from millrace.sinks.topics import write_routed
 
 
@@ -227,3 +227,92 @@ def test_dimension_reader_names_what_is_missing(spark, topics, tmp_path):
     put(topics, "table_process", rule("user_info", "insert", "hbase", "dim_user_info", "id,gender", "id"))
     with pytest.raises(ValueError, match="DIM_BASE_PROVINCE"):
         run.dimension_reader(topics, "table_process", str(tmp_path / "dims"))()
+
+
+def test_snapshot_then_changes_as_a_job(spark, topics, tmp_path):
+    """Changes up to the place are in the snapshot; those stored while it is copied are not lost or doubled."""
+    at = lambda pos: {"source": {"file": "log.1", "pos": pos}}
+    put(
+        topics, "change_records",
+        change("tm", "c", {"id": 1, "n": "a"}, **at(3)), change("tm", "c", {"id": 2, "n": "b"}, **at(5)),
+        change("tm", "u", {"id": 1, "n": "c"}, {"id": 1, "n": "a"}, **at(6)), change("other", "c", {"id": 9}, **at(9)),
+        change("tm", "c", {"id": 7, "n": "no place"}),
+    )
+    spark.createDataFrame([(1, "a"), (2, "b")], "id int, n string").write.parquet(str(tmp_path / "snapshot"))
+    flags = ("--table", "shop.tm", "--snapshot", str(tmp_path / "snapshot"), "--place", "log.1:5")
+    drain(topics, tmp_path, "snapshot_feed", *flags)
+    put(topics, "change_records", change("tm", "d", None, {"id": 2, "n": "b"}, **at(8)), batch=1)
+    drain(topics, tmp_path, "snapshot_feed", *flags[:-1], "log.1:99")  # the recorded place counts
+    found = [(r["type"], r.get("at", {}).get("pos")) for r in get(topics, "ods_base_db")]
+    assert sorted(found, key=str) == sorted(
+        [("read", 5), ("read", 5), ("update", 6), ("insert", None), ("delete", 8)], key=str
+    )
+    state = current_state(changes.changes.parse_envelopes(topics.read("ods_base_db")), ["id"], CHANGE_ORDER)
+    assert sorted((plain(r.image)["id"], plain(r.image)["n"]) for r in state.collect()) == [(1, "c"), (7, "no place")]
+
+
+def test_a_copy_cut_short_is_made_again(spark, topics, tmp_path):
+    put(topics, "change_records", change("tm", "c", {"id": 3}, source={"file": "log.1", "pos": 9}))
+    made = []
+
+    def snapshot():
+        made.append(1)
+        if len(made) == 1:
+            raise RuntimeError("lost")
+        return spark.createDataFrame([(1,)], "id int")
+
+    run_it = lambda: [q.awaitTermination() for q in changes.snapshot_feed(
+        topics, snapshot, "shop.tm", "log.1", 5, "change_records", str(tmp_path / "ck"), {"availableNow": True})]
+    with pytest.raises(RuntimeError):
+        run_it()
+    run_it()
+    run_it()
+    assert len(made) == 2 and sorted(r["type"] for r in get(topics, "ods_base_db")) == ["insert", "read"]
+
+
+def test_a_micro_batch_keeps_its_rules(spark, topics, tmp_path):
+    names = lambda batch: sorted(
+        r.sink_table for r in changes.pinned_rules(topics, "table_process", str(tmp_path / "rules"), batch).collect()
+    )
+    first = rule("order_info", "insert", "kafka", "one", "id")
+    put(topics, "table_process", {**first, "after": {}, "before": first["after"], "type": "delete"})
+    assert names(0) == []
+    put(topics, "table_process", first, batch=1)
+    assert names(1) == ["one"] and names(0) == []
+    put(topics, "table_process", rule("user_info", "insert", "kafka", "two", "id"), batch=2)
+    assert names(1) == ["one"] and names(2) == ["one", "two"]
+
+
+def test_a_replayed_micro_batch_is_routed_as_before(spark, topics, tmp_path):
+    """The log of finished micro-batches is lost after one was written, and a rule has changed since."""
+    put(topics, "table_process", rule("t", "insert", "kafka", "old_topic", "id"))
+    put(topics, "change_records", change("t", "c", {"id": 1}))
+    drain(topics, tmp_path, "normalize_feed")
+    drain(topics, tmp_path, "route_changes", "--dims", str(tmp_path / "dims"))
+    image = rule("t", "insert", "kafka", "old_topic", "id")
+    put(topics, "table_process", {**rule("t", "insert", "kafka", "new_topic", "id"), "before": image["after"], "type": "update"}, batch=1)
+    for name in ("0", ".0.crc"):
+        (tmp_path / "ck" / "route" / "commits" / name).unlink()
+    drain(topics, tmp_path, "route_changes", "--dims", str(tmp_path / "dims"))
+    assert get(topics, "old_topic") == [{"id": 1}] and not (tmp_path / "topics" / "topic=new_topic").exists()
+
+
+@pytest.mark.parametrize("text, wanted", [
+    ("initial", Start()), ("latest", Start("latest")), ("timestamp:17", Start("timestamp", timestamp_ms=17)),
+    ('offsets:{"t":{"0":7}}', Start("offsets", offsets={"t": {"0": 7}})), ("middle", None), ("latest:1", None),
+])
+def test_start_flag(text, wanted):
+    if wanted:
+        assert run.start_of(text) == wanted
+    else:
+        with pytest.raises(ValueError):
+            run.start_of(text)
+
+
+def test_latest_is_pinned_when_a_feed_first_starts(spark, topics, tmp_path):
+    put(topics, "change_records", change("t", "c", {"id": 1}))
+    for n in (2, 3):
+        drain(topics, tmp_path, "normalize_feed", "--start", "latest")
+        put(topics, "change_records", change("t", "c", {"id": n}), batch=n)
+    drain(topics, tmp_path, "normalize_feed", "--start", "latest")
+    assert [r["after"] for r in get(topics, "ods_base_db")] == [{"id": 2}, {"id": 3}]
