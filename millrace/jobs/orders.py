@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.records import parse_typed
 from millrace.operators import orders
+from millrace.operators.lookups import hot_keys
 from millrace.schemas import ORDER_DETAIL, ORDER_INFO, ORDER_WIDE, PAYMENT_INFO
 from millrace.sinks.topics import write_topic, write_topic_stream
 from millrace.sources.topics import Topics
@@ -44,8 +45,13 @@ def order_wide(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        wide = orders.enrich(batch, read_dims(), int(time.time() * 1000))
-        write_topic(topics, wide, WIDE_TOPIC, "order_wide", batch_id)
+        batch = batch.persist()
+        try:
+            hot = hot_keys(batch, ["user_id", "province_id", "sku_id"])
+            wide = orders.enrich(batch, read_dims(), int(time.time() * 1000), hot=hot)
+            write_topic(topics, wide, WIDE_TOPIC, "order_wide", batch_id)
+        finally:
+            batch.unpersist()
 
     merged = orders.merge_order(joined)
     return [start_batches(merged, write, f"{checkpoint}/order_wide", trigger, "order_wide")]

@@ -103,6 +103,22 @@ def log_lines(spark: SparkSession, sf_dir: str, errors_raw: bool = False) -> Dat
     )
 
 
+#: Files of the late-row case, and the events whose record comes a file later or has no time.
+LATE_FILES, LATE_EVERY, UNTIMED_EVERY = 4, 10, 50
+
+
+def late_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log texts with their ``file``: events in turn, some held back for one file, some without a time."""
+    rows = pages(spark, sf_dir)
+    n = table(spark, sf_dir, "events").agg(F.max("event_id") + 1).first()[0]
+    held_back = F.when(F.col("seq") % LATE_EVERY == 3, 1).otherwise(0)
+    file = F.least(F.floor(F.col("seq") * LATE_FILES / F.lit(n)) + held_back, F.lit(LATE_FILES - 1))
+    timed = F.when(F.col("seq") % UNTIMED_EVERY != 7, F.col("ts"))
+    return rows.withColumn("ts", timed).select(
+        file.cast("int").alias("file"), F.to_json(F.struct("common", "page", "ts", "seq")).alias("value")
+    )
+
+
 def money(column: str) -> Column:
     return F.col(column).cast(MONEY)
 

@@ -7,6 +7,7 @@ from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions import records, times
 from millrace.jobs import changes as change_jobs
@@ -14,14 +15,16 @@ from millrace.jobs import orders as order_jobs
 from millrace.jobs.run import dimension_reader
 from millrace.operators import changes, joins, jumps, logs, lookups, orders, routing, stats, visits
 from millrace.plans import adapters as a
-from millrace.schemas import ORDER_WIDE, PAYMENT_WIDE, TABLE_PROCESS
+from millrace.schemas import ORDER_WIDE, PAYMENT_WIDE, TABLE_PROCESS, VISITOR_STATS
 from millrace.session import DUPLICATES_KEY, shared_dir
 from millrace.sinks.dimensions import DimensionTable
+from millrace.sinks.stats import to_parquet
 from millrace.sinks.topics import write_routed, write_topic
 from millrace.sources.tables import read_table
-from millrace.sources.topics import CHANGE_ORDER, Start, Topics
+from millrace.sources.topics import CHANGE_ORDER, Start, Topics, delimited, log_files
 from millrace.streaming import joins as stream_joins
 from millrace.streaming import state
+from millrace.streaming.late import start_splitting
 from millrace.streaming.runner import run_to_table, start_batches
 from millrace.streaming.stats import visitor_stats_stream
 
@@ -656,3 +659,67 @@ def stream_dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"availableNow": True},
     ).awaitTermination()
     return dim.read()
+
+
+@query
+def stream_consecutive_3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = state.consecutive_match_stream(a.pages_stream(spark, sf_dir), 3, 24 * a.HOUR_MS, "2 hours")
+    return run_to_table(_brief(found, "outcome"), "runs")
+
+
+@query
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records behind the watermark or without a time, of four files read one after the other."""
+    root = shared_dir(spark, "late")
+    topics = Topics(spark, f"{root}/topics")
+    lines = a.late_log_lines(spark, sf_dir).withColumn("topic", F.lit("dwd_page_log"))
+    for n in range(a.LATE_FILES):
+        write_routed(topics, lines.where(F.col("file") == n).coalesce(1), "pages", n)
+    rows = topics.read_stream("dwd_page_log", files_per_batch=1).select(
+        F.get_json_object("value", "$.seq").cast("bigint").alias("seq"),
+        F.get_json_object("value", "$.ts").try_cast("bigint").alias("ts"), "value",
+    )
+    to = lambda topic: lambda batch, n: write_topic(topics, batch, topic, topic, n)
+    _drained([start_splitting(rows, to("on_time"), to("audit"), f"{root}/ck", 2 * a.HOUR_MS, trigger={"availableNow": True})])
+    read = lambda topic: records.parse_typed(topics.read(topic), StructType.fromDDL("seq bigint, reason string"))
+    return read("audit").unionByName(read("on_time")).select("seq", F.coalesce("reason", F.lit("on time")).alias("reason"))
+
+
+# Sources and sinks on files
+
+@query
+def log_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolled log files, one text per line, as a stream."""
+    root = shared_dir(spark, "logs")
+    a.log_lines(spark, sf_dir).select("value").write.text(f"{root}/app")
+    parsed = logs.good(logs.parse(log_files(spark, f"{root}/app", streaming=True)))
+    return run_to_table(parsed.select("common.mid", "page.page_id", "ts"), "log-files")
+
+
+@query
+def delimited_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delimited texts as a stream."""
+    root = shared_dir(spark, "delimited")
+    events = a.table(spark, sf_dir, "events").select("event_id", "event_type", a.epoch_ms("ts").alias("ts"))
+    events.write.option("sep", ";").csv(f"{root}/in")
+    rows = delimited(spark, f"{root}/in", "event_id bigint, event_type string, ts bigint", ";", streaming=True)
+    return run_to_table(rows, "delimited")
+
+
+@query
+def raw_change_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw change records through a topic, unread and unchanged."""
+    topics = Topics(spark, shared_dir(spark, "raw"))
+    raw = a.raw_customer_changes(spark, sf_dir).withColumn("topic", F.lit("change_records"))
+    write_routed(topics, raw, "database")
+    return run_to_table(topics.read_stream("change_records").select("value"), "raw-texts")
+
+
+@query
+def stored_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics windows stored by day, one micro-batch written twice, and read back."""
+    path = shared_dir(spark, "stored")
+    rows = stats.visitor_stats_of_logs(a.pages(spark, sf_dir), WITHIN_MS, "1 day")
+    for _ in range(2):
+        to_parquet(path)(rows, 0)
+    return spark.read.schema(VISITOR_STATS).parquet(path).select(*VISITOR_STATS.names)

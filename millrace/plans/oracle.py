@@ -345,4 +345,30 @@ WHERE ts + {WITHIN} <= (SELECT max(ts) FROM pages) - {2 * HOUR}""",
         f"WHERE (d + 1) * {DAY} <= (SELECT max(ts) FROM pages) - {9 * HOUR}", "pages"
     ),
     "stream_dim_upsert": _UPSERTED,
+    "stream_consecutive_3": f"""{_PAGES}
+SELECT seq, mid, ts, outcome FROM (
+  SELECT *, CASE WHEN t1 IS NULL OR t1 - ts >= {DAY} THEN 'timeout' WHEN NOT e1 THEN NULL
+                 WHEN t2 IS NULL OR t2 - ts >= {DAY} THEN 'timeout' WHEN e2 THEN 'match' END AS outcome
+  FROM (SELECT *, lead(entry, 1) OVER w AS e1, lead(ts, 1) OVER w AS t1, lead(entry, 2) OVER w AS e2,
+               lead(ts, 2) OVER w AS t2
+        FROM pages WINDOW w AS (PARTITION BY mid ORDER BY ts, seq)))
+WHERE entry AND outcome IS NOT NULL AND ts + {DAY} <= (SELECT max(ts) FROM pages) - {2 * HOUR}""",
+    "late_rows": f"""{_PAGES}, dealt AS (
+  SELECT seq, CASE WHEN seq % 50 <> 7 THEN ts END AS ts,
+         least(CAST(floor(seq * 4 / (SELECT max(event_id) + 1 FROM events)) AS BIGINT)
+               + CASE WHEN seq % 10 = 3 THEN 1 ELSE 0 END, 3) AS file
+  FROM pages
+), highs AS (
+  SELECT file, max(max(ts)) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high
+  FROM dealt GROUP BY file
+)
+SELECT seq, CASE WHEN ts IS NULL THEN 'untimed' WHEN ts < high - {2 * HOUR} THEN 'late' ELSE 'on time' END AS reason
+FROM dealt JOIN highs USING (file)""",
+    "log_file_lines": f"{_PAGES} SELECT mid, page_id, ts FROM pages",
+    "delimited_rows": "SELECT event_id, event_type, epoch_us(ts) // 1000 AS ts FROM events",
+    "raw_change_texts": """
+SELECT '{"topic":"feed.shop.customer_state","op":"u","after":{"id":' || o_custkey || ',"status":"' || o_orderstatus || '"'
+  || CASE WHEN o_orderpriority <> '5-LOW' THEN ',"priority":"' || o_orderpriority || '"' ELSE '' END
+  || '},"source":{"file":"' || strftime(o_orderdate, '%Y%m%d') || '","pos":' || o_orderkey || '}}' AS value FROM orders""",
+    "stored_windows": _stats(),
 }

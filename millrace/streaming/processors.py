@@ -77,16 +77,21 @@ class DailyFirst(StatefulProcessor):
         pass
 
 
-class Bounces(StatefulProcessor):
+class Runs(StatefulProcessor):
     """Decides entry events of one (key, time slice) once the limit after them has passed.
 
+    An automaton of ``n`` states walks over what follows an entry: an entry in time takes it one
+    state on, the last is a match; the limit or the end of the rows before that is a timeout, and any
+    other event ends it without outcome.
+
     State holds the rows that can still matter: undecided entries and what follows
     them.  A slice ends, so its state empties as the watermark moves on.
     """
 
-    def __init__(self, ties, within_ms):
+    def __init__(self, ties, within_ms, n=2):
         self._ties = ties
         self._within = within_ms
+        self._n = n
 
     def init(self, handle):
         self._handle = handle
@@ -112,11 +117,11 @@ class Bounces(StatefulProcessor):
         ties = len(self._ties)
         rows = sorted(self._rows.get(), key=lambda r: tuple(r[: ties + 1]))
         kept, found = [], []
-        for row, later in zip(rows, rows[1:] + [None]):
+        for i, row in enumerate(rows):
             if row[-1] is not None and row[0] + self._within <= watermark:
-                alone = later is None or later[0] - row[0] >= self._within
-                if alone or later[-2]:
-                    found.append((row[-1], "timeout" if alone else "match"))
+                outcome = self._outcome(row, rows[i + 1:i + self._n])
+                if outcome:
+                    found.append((row[-1], outcome))
                 row = (*row[:-1], None)
             kept.append(tuple(row))
         open_from = min([r[0] for r in kept if r[-1] is not None], default=watermark)
@@ -129,6 +134,14 @@ class Bounces(StatefulProcessor):
         if found:
             yield pd.DataFrame(found, columns=["body", "outcome"])
 
+    def _outcome(self, entry, following):
+        for later in following:
+            if later[0] - entry[0] >= self._within:
+                return "timeout"
+            if not later[-2]:
+                return None
+        return "match" if len(following) == self._n - 1 else "timeout"
+
     def close(self):
         pass
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.times import date_text
 from millrace.operators.jumps import SLICES_PER_LIMIT, WITHIN_MS, time_slice
 from millrace.operators.visits import is_entry
-from millrace.streaming.processors import Bounces, DailyFirst, FirstClaim
+from millrace.streaming.processors import DailyFirst, FirstClaim, Runs
 
 DAY_MS = 24 * 60 * 60 * 1000
 NO_TIME = -(2**63)
@@ -142,9 +142,24 @@ def jumps_stream(
     tiebreak: Sequence[str] = ("seq",),
     slice_ms: int | None = None,
 ) -> DataFrame:
-    """Bounces with their ``outcome``, each emitted once the watermark is past its limit.
+    """Bounces with their ``outcome``, each emitted once the watermark is past its limit."""
+    return consecutive_match_stream(pages, 2, within_ms, lateness, key, ts, tiebreak, slice_ms)
 
-    State is kept per (visitor, time slice) with the batch form's read-ahead, so a
+
+def consecutive_match_stream(
+    pages: DataFrame,
+    n: int = 2,
+    within_ms: int = WITHIN_MS,
+    lateness: str = "2 seconds",
+    key: str = "common.mid",
+    ts: str = "ts",
+    tiebreak: Sequence[str] = ("seq",),
+    slice_ms: int | None = None,
+) -> DataFrame:
+    """Entry pages opening a run of ``n`` strictly consecutive ones, or running out of time before.
+
+    The stream form of ``jumps.consecutive_match``; an entry is decided once the watermark is past its
+    limit.  State is kept per (visitor, time slice) with the batch form's read-ahead, so a
     replayed backlog of one visitor spreads over its slices.
     """
     width = max(slice_ms or within_ms * SLICES_PER_LIMIT, within_ms)
@@ -159,6 +174,6 @@ def jumps_stream(
         "slice", F.explode(F.when(ahead, F.array(own, own - 1)).otherwise(F.array(own)))
     ).withColumn("body", F.when(F.col("slice") == own, F.col("body")))
     out = sliced.groupBy("mid", "slice").transformWithStateInPandas(
-        Bounces(ties, within_ms), "body string, outcome string", "append", "eventTime"
+        Runs(ties, within_ms, n), "body string, outcome string", "append", "eventTime"
     )
     return _restore(out, pages, "outcome")

@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 from helpers import page, page_schema, pages, seen
@@ -10,6 +11,7 @@ from millrace.operators.joins import interval_join
 from millrace.sources.topics import delimited
 from millrace.streaming import state
 from millrace.streaming.joins import interval_join_stream
+from millrace.streaming.late import start_splitting
 from millrace.streaming.runner import late_rows, run_to_table, start_batches
 from millrace.streaming.stats import visitor_stats_stream
 
@@ -204,3 +206,63 @@ def test_windows_close_and_late_rows_are_counted(feed, tmp_path):
     query.awaitTermination()
     assert sorted(windows) == [("1970-01-01 00:00:00", 1, 5), ("1970-01-01 00:00:30", 2, 0)]
     assert late_rows(query) == 1
+
+
+@pytest.mark.parametrize("n", [3, 4])
+def test_streamed_runs_equal_the_batch(spark, feed, n):
+    rng = random.Random(n)
+    rows = [page(rng.choice("ab"), rng.randrange(1, 200), rng.choice("EEEN"), seq=i) for i in range(120)]
+    rows.sort(key=lambda r: r[4] + rng.randrange(0, 2000))
+    for i in range(0, len(rows), 40):
+        feed.add(*rows[i:i + 40])
+    feed.add(page("end", 1000))
+    pick = lambda df: sorted(tuple(r) for r in df.select("common.mid", "ts", "seq", "outcome").collect())
+    got = pick(feed.run(lambda s: state.consecutive_match_stream(s, n, 9_000)))
+    assert got == pick(jumps.consecutive_match(pages(spark, *rows), n, 9_000))
+    assert {r[-1] for r in got} == {"match", "timeout"}
+
+
+def test_a_visitor_is_forgotten_after_the_time_to_live(spark, feed, tmp_path):
+    passed, checkpoint = [], str(tmp_path / "ck")
+
+    def run():
+        start_batches(
+            state.unique_visits_stream(feed.stream(), ttl_ms=8_000), lambda df, n: passed.extend(seen(df)),
+            checkpoint, NOW, close_windows=False,
+        ).awaitTermination()
+
+    def kept():
+        days = spark.read.format("statestore").option("stateVarName", "day").load(checkpoint)
+        return sorted(r[0] for r in days.select("key.mid").collect())
+
+    feed.add(page("a", 1, "E"))
+    run()
+    assert kept() == ["a"]
+    time.sleep(9)
+    feed.add(page("b", 2, "E"))
+    run()
+    assert kept() == ["b"]
+    feed.add(page("a", 3, "E"))
+    run()
+    # Only a visitor forgotten passes a second time on one day.
+    assert passed == [("a", 1.0), ("b", 2.0), ("a", 3.0)]
+
+
+def test_late_and_untimed_rows_are_handed_over_once(spark, tmp_path):
+    feed, taken = Feed(spark, tmp_path, "id int, ts bigint"), {"on_time": {}, "refused": {}}
+    keep = lambda name: lambda df, n: taken[name].update({n: sorted(map(tuple, df.collect()))})
+    run = lambda: start_splitting(
+        feed.stream(), keep("on_time"), keep("refused"), str(tmp_path / "ck"), 10, trigger=NOW
+    ).awaitTermination()
+    feed.add((1, None)).add((2, 100), (3, 5)).add((4, 89), (5, 90), (6, None))
+    run()
+    feed.add((7, 89), (8, 300)).add((9, 289), (10, 290))
+    run()
+    assert taken["refused"] == {0: [(1, None, "untimed")], 1: [], 2: [(4, 89, "late"), (6, None, "untimed")],
+                                3: [(7, 89, "late")], 4: [(9, 289, "late")]}
+    assert sum(len(rows) for rows in taken["on_time"].values()) == 5
+    before = {name: dict(rows) for name, rows in taken.items()}
+    for name in ("4", ".4.crc"):
+        (tmp_path / "ck" / "commits" / name).unlink()
+    run()
+    assert taken == before
