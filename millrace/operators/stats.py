@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.functions.times import time_text
-from millrace.operators.jumps import WITHIN_MS, detect
-from millrace.operators.logs import repair_is_new
-from millrace.operators.visits import is_entry, unique_visits
+from millrace.functions.times import date_text, time_text
+from millrace.operators.jumps import SLICES_PER_LIMIT, WITHIN_MS, time_slice
+from millrace.operators.visits import is_entry
 from millrace.schemas import VISITOR_STATS
 
 WINDOW = "10 seconds"
@@ -66,14 +65,56 @@ def visitor_stats_of_logs(
     within_ms: int = WITHIN_MS,
     window: str = WINDOW,
     tiebreak: Sequence[str] = ("seq",),
+    slice_ms: int | None = None,
 ) -> DataFrame:
-    """Statistics straight from unrepaired page logs.
+    """Statistics straight from unrepaired page logs, read and shuffled once.
 
-    Visits and bounces do not look at ``is_new``, so it is repaired once, on the
-    narrow united counters, instead of before each of the three.
+    Records meet by (visitor, time slice), with the read-ahead of ``consecutive_match``; that decides
+    bounces.  A slice's first claim to be new and its first entry page of each day are the only records
+    for which other slices matter: they alone meet by visitor, at most a few per slice however
+    many records a visitor has.  All others count at once, their claims as known visitors.
     """
-    visits = unique_visits(pages, tiebreak=tiebreak)
-    jumps = detect(pages, within_ms, tiebreak=tiebreak)
-    rows = to_stats_rows(visits, jumps, pages, carry=tiebreak)
-    repaired = repair_is_new(rows, tiebreak=tiebreak, claims_from=pages)
-    return aggregate(repaired.withColumn("et", F.timestamp_millis("ts")), window)
+    width = max(slice_ms or within_ms * SLICES_PER_LIMIT, within_ms)
+    ties = [f"o{i}" for i in range(len(tiebreak))]
+    own = time_slice(F.col("ts"), width)
+    ahead = F.pmod(F.col("ts"), F.lit(width)) < within_ms
+    rows = pages.select(
+        *[F.col(f"common.{c}").alias(c) for c in ("mid", *GROUP)], "ts",
+        *[F.col(c).alias(name) for c, name in zip(tiebreak, ties)],
+        is_entry().alias("entry"), F.coalesce("page.during_time", F.lit(0)).alias("stay"),
+    ).withColumn("slice", F.explode(F.when(ahead, F.array(own, own - 1)).otherwise(F.array(own))))
+
+    claim, day = F.col("is_new").eqNullSafe("1"), date_text(F.col("ts"))
+    in_slice = Window.partitionBy("mid", "slice").orderBy("ts", *ties)
+    of_mid = Window.partitionBy("mid").orderBy("ts", *ties)
+
+    def first_claim(claims: Column, over: WindowSpec) -> Column:
+        return claims & (F.count(F.when(claims, 1)).over(over.rowsBetween(Window.unboundedPreceding, 0)) == 1)
+
+    def first_of_day(entries: Column, over: WindowSpec) -> Column:
+        """Days rise with the order, so an entry is the first of its day if the last one before has another."""
+        last = F.max(F.when(entries, day)).over(over.rowsBetween(Window.unboundedPreceding, -1))
+        return entries & ~last.eqNullSafe(day)
+
+    gap = F.lead("ts").over(in_slice) - F.col("ts")
+    lone = ~F.coalesce(gap < within_ms, F.lit(False))
+    # A slice's own records come before those read ahead, so these change nothing for them but the bounces.
+    seen = rows.withColumns({
+        "uj": F.col("entry") & (lone | F.coalesce(F.lead("entry").over(in_slice), F.lit(False))),
+        "claim_first": first_claim(claim, in_slice), "visit_first": first_of_day(F.col("entry"), in_slice),
+    }).where(F.col("slice").eqNullSafe(own))
+    open_ = F.col("claim_first") | F.col("visit_first")
+    flag = F.when(claim, "0").otherwise(F.col("is_new"))
+    kept = ["ar", "ch", "vc", "ts", "entry", "stay", "uj"]
+    settled = seen.where(~open_).select(*kept, flag.alias("is_new"), F.lit(False).alias("uv"))
+    decided = seen.where(open_).withColumns({
+        "new": first_claim(F.col("claim_first"), of_mid), "uv": first_of_day(F.col("visit_first"), of_mid),
+    }).select(*kept, F.when(F.col("new"), "1").otherwise(flag).alias("is_new"), "uv")
+    counters = {
+        "uv_ct": F.col("uv"), "pv_ct": F.lit(1), "sv_ct": F.col("entry"), "uj_ct": F.col("uj"), "dur_sum": F.col("stay"),
+    }
+    counted = settled.unionByName(decided).select(
+        F.struct(*GROUP).alias("common"), *[c.cast("bigint").alias(name) for name, c in counters.items()], "ts",
+        F.timestamp_millis("ts").alias("et"),
+    )
+    return aggregate(counted, window)

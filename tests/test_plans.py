@@ -1,9 +1,11 @@
 """The physical plans the operators are meant to get, with broadcasting off."""
 
+import re
+
 import pytest
 from helpers import page, pages
 
-from millrace.operators import changes, jumps, logs, routing, visits
+from millrace.operators import changes, jumps, logs, routing, stats, visits
 from millrace.operators.joins import interval_join
 from millrace.schemas import CDC_ENVELOPE, TABLE_PROCESS
 
@@ -61,3 +63,12 @@ def test_routing_does_not_move_the_feed(spark, rows):
 def test_log_texts_are_parsed_once(spark, rows):
     lines = rows.selectExpr("start as value")
     assert plan(logs.good(logs.parse(lines))).count("from_json") == 1
+
+
+def test_statistics_read_and_shuffle_the_log_once(rows):
+    found = stats.visitor_stats_of_logs(rows)
+    assert found.count() == 1 and len(found.collect()) == 1
+    text = plan(found).split("== Initial Plan ==")[0]
+    exchanges = re.findall(r"^[ :+*()\d-]*Exchange (\w+)", text, re.MULTILINE)
+    assert text.count("Scan parquet") == 1 and text.count("ReusedExchange") == 1
+    assert exchanges == ["hashpartitioning"] * 3

@@ -1,3 +1,5 @@
+import random
+
 from helpers import page, pages
 
 from millrace.operators import stats
@@ -36,3 +38,22 @@ def test_repair_after_union_equals_repair_before(spark):
     after = stats.visitor_stats_of_logs(rows)
     key = lambda df: sorted(map(tuple, df.collect()))
     assert key(before) == key(after)
+
+
+def test_one_pass_equals_the_three_tables(spark):
+    """Hot visitors over several slices and days, ties, records without a time, missing flags."""
+    from millrace.operators import jumps, logs, visits
+    rng = random.Random(6)
+    rows = [
+        page(rng.choice("aaab"), rng.choice([rng.randrange(0, 2000), 86_399, 86_400, 90_000]), rng.choice("EeNB"), seq=i,
+             is_new=rng.choice(["1", "1", "0", None]), during=rng.choice([None, i]), dims=(rng.choice("vw"), "c", "a"))
+        for i in range(300)
+    ]
+    untimed = list(page("b", 1, "E", seq=900, is_new="1"))
+    untimed[4] = None
+    rows = pages(spark, *rows, tuple(untimed))
+    fixed = logs.repair_is_new(rows)
+    key = lambda df: sorted(map(repr, df.collect()))
+    before = stats.visitor_stats(visits.unique_visits(fixed), jumps.detect(fixed, 5_000), fixed)
+    for slice_ms in (None, 5_000):
+        assert key(stats.visitor_stats_of_logs(rows, 5_000, slice_ms=slice_ms)) == key(before)
