@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructField, StructType, VariantType
+from pyspark.sql.types import StringType, StructType
 
 from millrace.functions.records import as_typed, numbers_as_text, parse_typed
 from millrace.schemas import ODS_LOG
@@ -26,23 +26,23 @@ def parse(
     after the object shows instead of being passed over.
     """
     loose = numbers_as_text(schema)
-    nested = [f.name for f in schema.fields if isinstance(f.dataType, (StructType, ArrayType, MapType))]
-    opened = StructType([
-        StructField(f.name, VariantType() if f.name in nested else f.dataType) for f in loose.fields
-    ])
-    wrapper = StructType().add("_record", opened).add("_end", StringType())
+    wrapper = StructType().add("_record", loose).add("_end", StringType())
     wrapper = wrapper.add(_CORRUPT, StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    wrapped = lines.withColumn(
-        "_text", F.concat(F.lit('{"_record":'), F.col(value), F.lit(',"_end":"."}'))
+    text = F.concat(F.lit('{"_record":'), F.col(value), F.lit(',"_end":"."}'))
+    parsed = parse_typed(lines.withColumns({"_text": text, "_again": text}), wrapper, "_text", options)
+    # Only a text that does not fit the layout is read once more, field by field.
+    misfit = F.col(_CORRUPT).isNotNull()
+    opened = F.when(misfit, F.try_parse_json("_again"))
+    field = lambda path, kind: F.try_variant_get(F.col("_open"), path, kind.simpleString())
+    refitted = F.struct(
+        F.struct(*[field(f"$._record['{f.name}']", f.dataType).alias(f.name) for f in loose.fields]).alias("_record"),
+        field("$._end", StringType()).alias("_end"),
+        F.when(F.col("_open").isNull(), F.col(_CORRUPT)).alias(_CORRUPT),
     )
-    parsed = parse_typed(wrapped, wrapper, "_text", options)
-    fields_of = lambda record: F.struct(*[
-        (F.try_variant_get(record[f.name], "$", f.dataType.simpleString()) if f.name in nested else record[f.name])
-        .alias(f.name) for f in loose.fields
-    ])
-    parsed = parsed.select(
-        *[c for c in parsed.columns if c != "_record"], F.inline(F.array(F.struct(fields_of(F.col("_record")).alias("_record"))))
+    fitted = F.struct("_record", "_end", _CORRUPT)
+    parsed = parsed.withColumn("_open", opened).select(
+        *lines.columns, F.inline(F.array(F.when(misfit, refitted).otherwise(fitted)))
     )
     record = F.col("_record")
     is_dirty = (

@@ -56,7 +56,6 @@ def to_pages(events: DataFrame) -> DataFrame:
             F.lit("item"), F.concat(F.lit("i"), n.cast("string")).cast("variant"),
             F.lit("order"), n.cast("variant"),
             F.lit("ad"), (n == 2).cast("variant"),
-            F.lit("place"), F.to_variant_object(F.struct(n.alias("row"), (n / 4).cast("decimal(4,2)").alias("depth"))),
         ),
     )
     return events.select(

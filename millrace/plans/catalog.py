@@ -121,15 +121,21 @@ def start_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def display_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items keep their types from the raw text to the topic's text."""
-    records_ = logs.good(logs.parse(a.log_lines(spark, sf_dir)))
     display = F.col("display")
-    return logs.display_logs(records_).select(
+    return logs.display_logs(a.pages(spark, sf_dir)).select(
         display["item"].cast("string").alias("item"), display["order"].cast("bigint").alias("order"),
         display["page_id"].cast("string").alias("page_id"), F.to_json("display").alias("value"),
     )
 
 
+@query
+def display_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items keep their types from the raw text to the topic's text, where fields are in order of name."""
+    parsed = logs.good(logs.parse(a.log_lines(spark, sf_dir)), keep_text=True)
+    lines = logs.split_lines(logs.repair_is_new(parsed), text="value")
+    return lines.where(F.col("topic") == logs.DISPLAY_TOPIC).select("value")
+
+
 # Visits, bounces, statistics
 
 @query

@@ -232,8 +232,10 @@ FROM pages, unnest(range(1, n_displays + 1)) AS u(n) WHERE start IS NULL""",
     "start_logs": f"{_PAGES} SELECT seq, mid, ts, start FROM pages WHERE start IS NOT NULL",
     "display_explode": f"""{_PAGES}
 SELECT 'i' || n AS item, CAST(n AS BIGINT) AS "order", page_id,
-       '{{"item":"i' || n || '","order":' || n || ',"ad":' || (n = 2) || ',"place":{{"depth":'
-         || ['0.25', '0.5', '0.75'][n] || ',"row":' || n || '}},"page_id":"' || page_id || '"}}' AS value
+       '{{"item":"i' || n || '","order":' || n || ',"ad":' || (n = 2) || ',"page_id":"' || page_id || '"}}' AS value
+FROM pages, unnest(range(1, n_displays + 1)) AS u(n) WHERE start IS NULL""",
+    "display_lines": f"""{_PAGES}
+SELECT '{{"item":"i' || n || '","order":' || n || ',"ad":' || (n = 2) || ',"page_id":"' || page_id || '"}}' AS value
 FROM pages, unnest(range(1, n_displays + 1)) AS u(n) WHERE start IS NULL""",
     "unique_visits": f"{_PAGES} SELECT seq, mid, ts FROM ({_VISITS.format(src='pages')})",
     "user_jumps": f"{_PAGES} SELECT seq, mid, ts FROM ({_JUMPS.format(src='pages')})",
