@@ -47,6 +47,8 @@ def order_wide(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            if batch.isEmpty():  # it only moves the time on
+                return
             hot = hot_keys(batch, ["user_id", "province_id", "sku_id"])
             wide = orders.enrich(batch, read_dims(), int(time.time() * 1000), hot=hot)
             write_topic(topics, wide, WIDE_TOPIC, "order_wide", batch_id)

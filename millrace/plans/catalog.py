@@ -301,7 +301,7 @@ def _fed(spark: SparkSession, purpose: str, raw: DataFrame, files: int = 3) -> t
 def _business_topics(spark: SparkSession, sf_dir: str) -> tuple[Topics, str]:
     """Raw change records, normalised, routed by rules to topics and dimension tables, and joined to wide orders."""
     raw = a.raw_business_changes(spark, sf_dir).unionByName(a.raw_dimension_changes(spark, sf_dir))
-    topics, checkpoint, dims = _fed(spark, "chain", raw)
+    topics, checkpoint, dims = _fed(spark, "chain", raw, 2)
     read = dimension_reader(topics, "table_process", dims)
     _drained(order_jobs.order_wide(topics, read, checkpoint, {"availableNow": True}))
     return topics, checkpoint
