@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -12,16 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from millrace.llm import rolling
 from millrace.llm.common import text_bytes, written
 from millrace.llm.components import components
-from millrace.llm.rolling import bucket_of, mixed, packed, runs, sliced, unpacked, words_of
+from millrace.llm.rolling import bucket_of, mixed, packed, parts, runs, sliced, unpacked, words_of
 
 HELD_TOKENS = 3_000_000
 HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 20 << 20, 5 << 20
 #: Documents of one search block: bounds its memory, not its result.
 BLOCK = 256
-#: Sets of one part of an inverted list when all pairs are wanted.
-LIST_PART = 1000
+#: Sets of one part of an inverted list when all pairs are wanted; tasks that a list's entries are dealt to.
+LIST_PART, LIST_LANES = 1000, 16
 STAR_ROUNDS = 2
 NO_ID = np.int64(np.iinfo(np.int64).max)
 
@@ -43,11 +45,9 @@ def _by_group(
     order = np.lexsort((ids, group))
     group, ids = group[order], ids[order]
     columns = tuple(c[order] for c in columns)
-    edges = sliced(group, groups)
-    for g in np.flatnonzero(np.diff(edges)):
-        a, z = edges[g], edges[g + 1]
+    for g, a, z in parts(group):
         low = int(ids[a])  # the smallest: sorted within the group
-        yield int(g), low.to_bytes(8, "little", signed=True) + packed(
+        yield g, low.to_bytes(8, "little", signed=True) + packed(
             (ids[a:z] - low).view(np.uint64), *(c[a:z] for c in columns)
         )
 
@@ -58,7 +58,15 @@ def _opened(blob: bytes, columns: int) -> list[np.ndarray]:
     return found
 
 
-def _sorted_rows(found: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+def _sorted_rows(found: Iterator[tuple[int, int, bytes]], apart: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows key, piece, kind, body; ``apart`` gives bodies of a negative key, which are not compared, pieces of their own."""
+
+    def batch() -> pa.RecordBatch:
+        pieces = [crc32(b) >> 1 if apart and k < 0 else 0 for k, b in zip(keys, blobs)]
+        return pa.RecordBatch.from_arrays([
+            pa.array(keys, pa.int32()), pa.array(pieces, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary()),
+        ], ROWS.names)
+
     keys, kinds, blobs, size = [], [], [], 0
     for key, kind, blob in found:
         keys.append(key)
@@ -66,16 +74,46 @@ def _sorted_rows(found: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordB
         blobs.append(blob)
         size += len(blob)
         if size > 4 << 20:
-            yield _sent(keys, kinds, blobs)
+            yield batch()
             keys, kinds, blobs, size = [], [], [], 0
     if keys:
-        yield _sent(keys, kinds, blobs)
+        yield batch()
 
 
-def _sent(keys: list, kinds: list, blobs: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(keys, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], ["key", "kind", "body"]
-    )
+ROW = "key int, piece int, kind int, body binary"
+ROWS = pa.schema([("key", pa.int32()), ("piece", pa.int32()), ("kind", pa.int32()), ("body", pa.binary())])
+
+
+def _table(found: list[tuple[int, int, bytes]], apart: bool = False) -> pa.Table:
+    return pa.Table.from_batches(list(_sorted_rows(iter(found), apart)), ROWS)
+
+
+def _dealt_again(
+    sent: DataFrame, opened: dict[int, Callable[[bytes], tuple]], dealt: dict[int, Callable[..., Iterator[tuple[int, int, bytes]]]]
+) -> DataFrame:
+    """Bodies sent to at most ``rolling.FAN`` ranges of keys, dealt to the keys themselves, in bounded holds.
+
+    For each kind: how a body is opened to columns, and how the columns held go on. Other kinds pass.
+    """
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {kind: [] for kind in opened}
+        count = dict.fromkeys(opened, 0)
+        for batch in batches:
+            for key, kind, body in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                if kind not in opened:
+                    yield from _sorted_rows(iter([(key, kind, body.as_py())]), True)
+                    continue
+                held[kind].append(tuple(opened[kind](body.as_py())))
+                count[kind] += len(held[kind][-1][0])
+                if count[kind] >= HELD_TOKENS:
+                    yield from _sorted_rows(dealt[kind](*map(np.concatenate, zip(*held[kind]))))
+                    held[kind], count[kind] = [], 0
+        for kind, columns in held.items():
+            if columns:
+                yield from _sorted_rows(dealt[kind](*map(np.concatenate, zip(*columns))))
+
+    return sent.repartition("key").mapInArrow(again, ROW)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,24 +147,32 @@ def profiles(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
     """doc_id, n_shingles, mark1, mark2, n_alone: how many of the shingles no other document has.
 
     Only packed hashes are shuffled. A map task sends a hash once: with its document, or, if it has
-    it in several, as shared.
+    it in several, as shared. Beyond ``rolling.FAN`` buckets or groups all is dealt in two turns.
     """
+    some_buckets, some_groups = min(buckets, rolling.FAN), min(groups, rolling.FAN)
+    apart = groups > some_groups
 
-    def flush(hashes, ids):
+    def flush(hashes, ids, single, buckets):
         order = np.lexsort((ids, hashes))
-        hashes, ids = hashes[order], ids[order]
+        hashes, ids, single = hashes[order], ids[order], single[order]
         new = np.r_[True, hashes[1:] != hashes[:-1]]
         starts = np.flatnonzero(new)
         last = np.r_[starts[1:], len(hashes)] - 1
-        shared = ids[starts] != ids[last]
+        single = np.logical_and.reduceat(single, starts) & (ids[starts] == ids[last])
         hashes, ids = hashes[starts], ids[starts]
-        edges = sliced(bucket_of(hashes, buckets), buckets)
-        for b in range(buckets):
-            a, z = edges[b], edges[b + 1]
-            if z > a:
-                low = int(ids[a:z].min())
-                owner = np.where(shared[a:z], np.uint64(0), (ids[a:z] - low).view(np.uint64) + np.uint64(1))
-                yield b, 0, low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], owner)
+        for b, a, z in parts(bucket_of(hashes, buckets)):
+            low = int(ids[a:z].min())
+            owner = np.where(single[a:z], (ids[a:z] - low).view(np.uint64) + np.uint64(1), np.uint64(0))
+            yield b, 0, low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], owner)
+
+    def owned(body):
+        hashes, owner = unpacked(body[8:], 2)
+        low = np.int64(int.from_bytes(body[:8], "little", signed=True))
+        return hashes, np.where(owner > 0, owner.view(np.int64) - 1 + low, 0), owner > 0
+
+    def held_on(held):
+        hashes, ids = map(np.concatenate, zip(*held))
+        return _sorted_rows(flush(hashes, ids, np.ones(len(ids), bool), some_buckets))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -138,14 +184,14 @@ def profiles(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
                 size, one, two = set_marks(hashes, text, len(own))
                 # Nothing is asked about rows without an id, so they need not meet in one group.
                 by = np.where(own == NO_ID, one, own)
-                yield from _sorted_rows((-1 - g, 1, body) for g, body in _by_group(own, groups, size, one.view(np.uint64), two.view(np.uint64), by=by))
+                yield from _sorted_rows(((-1 - g, 1, body) for g, body in _by_group(own, some_groups, size, one.view(np.uint64), two.view(np.uint64), by=by)), apart)
                 held.append((hashes, own[text]))
                 count += len(hashes)
                 if count >= HELD_TOKENS:
-                    yield from _sorted_rows(flush(*map(np.concatenate, zip(*held))))
+                    yield from held_on(held)
                     held, count = [], 0
         if count:
-            yield from _sorted_rows(flush(*map(np.concatenate, zip(*held))))
+            yield from held_on(held)
 
     def compared(table: pa.Table) -> pa.Table:
         key = table.column("key")[0].as_py()
@@ -153,24 +199,17 @@ def profiles(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
         if key < 0:
             found = [(-1 - key, 1, b) for b in bodies]
         else:
-            parts = []
-            for body in bodies:
-                hashes, owner = unpacked(body[8:], 2)
-                low = np.int64(int.from_bytes(body[:8], "little", signed=True))
-                parts.append((hashes, np.where(owner > 0, owner.view(np.int64) - 1 + low, 0), owner > 0))
-            hashes, ids, single = map(np.concatenate, zip(*parts))
+            hashes, ids, single = map(np.concatenate, zip(*map(owned, bodies)))
             order = np.argsort(hashes, kind="stable")
             hashes, ids, single = hashes[order], ids[order], single[order]
             starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
             ends = np.r_[starts[1:], len(hashes)] - 1
             # One document may lie in several tasks' parts only if its id is repeated.
-            alone = single[starts] & single[ends] & (ids[starts] == ids[ends]) & (ends == starts)
+            # Rows without an id are not asked about, and their marks lie in other groups.
+            alone = single[starts] & (ends == starts) & (ids[starts] != NO_ID)
             owner, count = np.unique(ids[starts[alone]], return_counts=True)
-            found = [(g, 0, body) for g, body in _by_group(owner, groups, count)]
-        return pa.table({
-            "key": pa.array([g for g, _, _ in found], pa.int32()), "kind": pa.array([x for _, x, _ in found], pa.int32()),
-            "body": pa.array([b for _, _, b in found], pa.binary()),
-        })
+            found = [(g, 0, body) for g, body in _by_group(owner, some_groups, count)]
+        return _table(found)
 
     def gathered(table: pa.Table) -> pa.Table:
         marks, counts = [], []
@@ -188,8 +227,19 @@ def profiles(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
             "mark1": pa.array(one.view(np.int64)), "mark2": pa.array(two.view(np.int64)), "n_alone": pa.array(alone),
         })
 
-    sent = rows.mapInArrow(hashed, "key int, kind int, body binary")
-    replies = sent.groupBy("key").applyInArrow(compared, "key int, kind int, body binary")
+    def marked(ids, size, one, two):
+        by = np.where(ids == NO_ID, one.view(np.int64), ids)
+        return ((g, 1, body) for g, body in _by_group(ids, groups, size, one, two, by=by))
+
+    sent = rows.mapInArrow(hashed, ROW)
+    if buckets > some_buckets:
+        sent = _dealt_again(sent, {0: owned}, {0: lambda *columns: flush(*columns, buckets)})
+    replies = sent.groupBy("key", "piece").applyInArrow(compared, ROW)
+    if apart:
+        replies = _dealt_again(
+            replies, {0: lambda b: _opened(b, 1), 1: lambda b: _opened(b, 3)},
+            {0: lambda ids, count: ((g, 0, body) for g, body in _by_group(ids, groups, count)), 1: marked},
+        )
     return replies.groupBy("key").applyInArrow(
         gathered, "doc_id long, n_shingles long, mark1 long, mark2 long, n_alone long"
     )
@@ -239,16 +289,18 @@ def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFr
     ``place`` is the token's place in its set by that order.
     ``odd`` is small for a set whose shingles many others have, the middle of its family.
     """
+    some_buckets, some_groups = min(buckets, rolling.FAN), min(groups, rolling.FAN)
 
-    def flush(tokens, reps, at):
+    def flush(tokens, reps, at, buckets=some_buckets):
         order = np.argsort(tokens, kind="stable")
         tokens, reps, at = tokens[order], reps[order], at[order]
-        edges = sliced(bucket_of(tokens, buckets), buckets)
-        for b in range(buckets):
-            a, z = edges[b], edges[b + 1]
-            if z > a:
-                low = int(reps[a:z].min())
-                yield b, 0, low.to_bytes(8, "little", signed=True) + packed(tokens[a:z], (reps[a:z] - low).view(np.uint64), at[a:z])
+        for b, a, z in parts(bucket_of(tokens, buckets)):
+            low = int(reps[a:z].min())
+            yield b, 0, low.to_bytes(8, "little", signed=True) + packed(tokens[a:z], (reps[a:z] - low).view(np.uint64), at[a:z])
+
+    def listed(blob):
+        tokens, rep, at = unpacked(blob[8:], 3)
+        return tokens, rep.view(np.int64) + np.int64(int.from_bytes(blob[:8], "little", signed=True)), at
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -264,26 +316,20 @@ def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFr
             yield from _sorted_rows(flush(*map(np.concatenate, zip(*held))))
 
     def counted(table: pa.Table) -> pa.Table:
-        parts = []
-        for body in table.column("body"):
-            blob = body.as_py()
-            tokens, rep, at = unpacked(blob[8:], 3)
-            parts.append((tokens, rep.view(np.int64) + np.int64(int.from_bytes(blob[:8], "little", signed=True)), at))
-        tokens, reps, at = map(np.concatenate, zip(*parts))
+        tokens, reps, at = map(np.concatenate, zip(*[listed(body.as_py()) for body in table.column("body")]))
         order = np.argsort(tokens, kind="stable")
         tokens, reps, at = tokens[order], reps[order], at[order]
         starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
         sizes = np.diff(np.r_[starts, len(tokens)])
         held = np.repeat(sizes, sizes)
         many = held > 1
-        found = list(_by_group(reps[many], groups, at[many], held[many]))
-        return pa.table({"grp": pa.array([g for g, _ in found], pa.int32()), "body": pa.array([b for _, b in found], pa.binary())})
+        return _table([(g, 1, body) for g, body in _by_group(reps[many], some_groups, at[many], held[many])])
 
     def chosen(key: tuple, own: pa.Table, replies: pa.Table) -> pa.Table:
-        parts = [_opened(b.as_py(), 2) for b in replies.column("body")]
+        answers = [_opened(b.as_py(), 2) for b in replies.column("body")]
         out: dict[str, list] = {"rep": [], "n": [], "odd": [], "alone": [], "tokens": []}
-        if parts:
-            reps, at, held = map(np.concatenate, zip(*parts))
+        if answers:
+            reps, at, held = map(np.concatenate, zip(*answers))
             order = np.argsort(reps, kind="stable")
             reps, at, held = reps[order], at[order].view(np.int64), held[order].view(np.int64)
             for rep, body in zip(own.column("rep").to_pylist(), own.column("tokens")):
@@ -305,8 +351,15 @@ def prefixes(sets: DataFrame, percent: int, buckets: int, groups: int) -> DataFr
             ("rep", pa.int64()), ("n", pa.int64()), ("odd", pa.int64()), ("alone", pa.int64()), ("tokens", pa.list_(pa.int64()))
         ]))
 
-    sent = sets.mapInArrow(hashed, "key int, kind int, body binary")
-    replies = sent.groupBy("key").applyInArrow(counted, "grp int, body binary")
+    sent = sets.mapInArrow(hashed, ROW)
+    if buckets > some_buckets:
+        sent = _dealt_again(sent, {0: listed}, {0: lambda *columns: flush(*columns, buckets)})
+    replies = sent.groupBy("key").applyInArrow(counted, ROW)
+    if groups > some_groups:
+        replies = _dealt_again(replies, {1: lambda b: _opened(b, 2)}, {
+            1: lambda reps, at, held: ((g, 1, body) for g, body in _by_group(reps, groups, at, held))
+        })
+    replies = replies.select(F.col("key").alias("grp"), "body")
     rare = sets.groupBy("grp").cogroup(replies.groupBy("grp")).applyInArrow(
         chosen, "rep long, n long, odd long, alone long, tokens array<long>"
     )
@@ -412,45 +465,60 @@ def _possible(percent: int) -> Column:
     return (F.col("n") - F.col("place") >= need) & (F.col("other_n") - F.col("other_place") >= need)
 
 
+def _with_lists(entries: DataFrame, merged: dict[str, tuple[Column, str]]) -> DataFrame:
+    """Entries with facts of their token's list, each the ``min``, ``max`` or ``sum`` of a column.
+
+    Entries and facts meet by token and lane, so a long list spreads over tasks; a lane has its row of
+    facts only for tokens that have entries in it.
+    """
+    laned = entries.withColumn("lane", F.pmod(F.xxhash64("rep"), F.lit(LIST_LANES)))
+    some = laned.groupBy("token", "lane").agg(*[getattr(F, how)(value).alias(name) for name, (value, how) in merged.items()])
+    facts = some.groupBy("token").agg(*[getattr(F, how)(name).alias(name) for name, (_, how) in merged.items()])
+    return laned.join(some.select("token", "lane").join(facts, "token"), ["token", "lane"]).drop("lane")
+
+
 def star_pairs(entries: DataFrame, turn: int, percent: int) -> DataFrame:
     """Of each token's list, the pairs (hub, rep) of one set of it and those of another component.
 
     The hub is the least odd one at first, then any by a hash.
     """
     order = F.xxhash64("rep", F.lit(turn)) if turn else F.col("odd")
-    rank = F.struct(order.alias("rank"), F.col("rep").alias("hub"), F.col("n").alias("other_n"),
-                    F.col("place").alias("other_place"), F.col("label").alias("other"))
-    hubs = entries.groupBy("token").agg(F.min(rank).alias("h"), F.min("label").alias("low"), F.max("label").alias("high")).where(
-        "low != high"
-    ).select("token", "h.hub", "h.other_n", "h.other_place", "h.other")
-    return entries.join(hubs, "token").where(F.col("label") != F.col("other")).where(_possible(percent)).select(
+    hub = F.struct(order.alias("rank"), F.col("rep").alias("hub"), F.col("n").alias("other_n"),
+                   F.col("place").alias("other_place"), F.col("label").alias("other"))
+    lists = _with_lists(entries, {"h": (hub, "min"), "low": (F.col("label"), "min"), "high": (F.col("label"), "max")})
+    return lists.where("low != high").select("*", "h.*").where(F.col("label") != F.col("other")).where(
+        _possible(percent)
+    ).select("hub", "rep").distinct()
+
+
+def _list_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """All pairs of entries of one list, from lists (with their ``entries`` counted) split into parts.
+
+    Each part of a list meets each other part by itself, so a long list spreads over tasks.
+    """
+    dealt = lists.withColumn("parts", F.ceil(F.col("entries") / LIST_PART).cast("int")).withColumn(
+        "part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    )
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = dealt.select("token", F.col("part").alias("i"), others.alias("j"), "rep", "n", "place", "label")
+    right = dealt.select("token", others.alias("i"), F.col("part").alias("j"), F.col("rep").alias("hub"),
+                         F.col("n").alias("other_n"), F.col("place").alias("other_place"), F.col("label").alias("other"))
+    return left.join(right, ["token", "i", "j"]).where("rep < hub and label != other").where(_possible(percent)).select(
         "hub", "rep"
     ).distinct()
 
 
 def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
     """All pairs that share a prefix token and are still in different components."""
-    mixed_lists = entries.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    left = entries.join(mixed_lists.select("token"), "token", "left_semi")
-    right = left.select("token", F.col("rep").alias("hub"), F.col("n").alias("other_n"), F.col("place").alias("other_place"),
-                        F.col("label").alias("other"))
-    return left.join(right, "token").where("rep < hub and label != other").where(_possible(percent)).select(
-        "hub", "rep"
-    ).distinct()
+    label = F.col("label")
+    lists = _with_lists(entries, {"low": (label, "min"), "high": (label, "max"), "entries": (F.lit(1), "sum")})
+    return _list_pairs(lists.where("low != high"), percent)
 
 
 def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs (hub, rep) of different sets that share a prefix token, from lists split into parts.
-
-    Each part of a list meets each other part by itself, so a long list spreads over tasks.
-    """
-    parts = entries.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / LIST_PART).cast("int").alias("parts"))
-    dealt = entries.join(parts, "token").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = dealt.select("token", F.col("part").alias("i"), others.alias("j"), "rep", "n", "place")
-    right = dealt.select("token", others.alias("i"), F.col("part").alias("j"), F.col("rep").alias("hub"),
-                         F.col("n").alias("other_n"), F.col("place").alias("other_place"))
-    return left.join(right, ["token", "i", "j"]).where("rep < hub").where(_possible(percent)).select("hub", "rep").distinct()
+    """All pairs (hub, rep) of different sets that share a prefix token."""
+    alone = entries.withColumn("label", F.col("rep"))
+    return _list_pairs(_with_lists(alone, {"entries": (F.lit(1), "sum")}), percent)
 
 
 def jaccard_links(

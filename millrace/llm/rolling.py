@@ -15,6 +15,8 @@ SEED = 20240229
 MASK = (1 << 64) - 1
 #: Texts are hashed in runs of about so many bytes.
 RUN_BYTES = 2 << 20
+#: A task deals what it holds to so many buckets at the most; beyond, rows are dealt a second time.
+FAN = 4096
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
@@ -137,6 +139,12 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
+def parts(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each value of sorted keys, and where its rows begin and end; the work follows the rows, not the range of keys."""
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    yield from zip(keys[starts].tolist(), starts.tolist(), np.r_[starts[1:], len(keys)].tolist())
+
+
 def sliced(keys: np.ndarray, groups: int) -> np.ndarray:
     """Where each of ``groups`` begins in sorted group numbers (one more entry)."""
     return np.searchsorted(keys, np.arange(groups + 1))

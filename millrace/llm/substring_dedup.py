@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import compress
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import rolling
 from millrace.llm.common import narrowed, text_bytes
-from millrace.llm.rolling import bucket_of, packed, runs, sliced, unpacked, words_of
+from millrace.llm.rolling import bucket_of, packed, parts, runs, sliced, unpacked, words_of
 
 #: A map task sends its windows on when it holds so many.
 HELD_WINDOWS = 4_000_000
 #: Bytes of text per bucket of hashes and per group of documents: both fit in a worker's memory.
 HASH_BUCKET_BYTES, TEXT_BUCKET_BYTES = 20 << 20, 5 << 20
 NO_ID = np.int64(np.iinfo(np.int64).max)
+ROWS = pa.schema([("key", pa.int32()), ("piece", pa.int32()), ("body", pa.binary())])
 
 
 def _sent(hashes, ids, group, buckets: int, groups: int) -> Iterator[tuple[int, bytes]]:
@@ -32,13 +35,18 @@ def _sent(hashes, ids, group, buckets: int, groups: int) -> Iterator[tuple[int,
     lost = ids > least
     yield from _losses(hashes[lost], ids[lost], group[lost], groups)
     hashes, ids, group = hashes[~lost], ids[~lost], group[~lost]
-    edges = sliced(bucket_of(hashes, buckets), buckets)
-    for b in range(buckets):
-        a, z = edges[b], edges[b + 1]
-        if z > a:
-            low = int(ids[a:z].min())
-            offset = (ids[a:z] - low).view(np.uint64)
-            yield b, low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], offset, group[a:z])
+    for b, a, z in parts(bucket_of(hashes, buckets)):
+        yield b, _closed(hashes[a:z], ids[a:z], group[a:z])
+
+
+def _closed(hashes: np.ndarray, ids: np.ndarray, group: np.ndarray) -> bytes:
+    low = int(ids.min())
+    return low.to_bytes(8, "little", signed=True) + packed(hashes, (ids - low).view(np.uint64), group)
+
+
+def _opened(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    hashes, offset, group = unpacked(body[8:], 3)
+    return hashes, offset.view(np.int64) + np.int64(int.from_bytes(body[:8], "little", signed=True)), group.astype(np.uint32)
 
 
 def _distinct(hashes: np.ndarray, ids: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,31 +59,73 @@ def _distinct(hashes: np.ndarray, ids: np.ndarray, group: np.ndarray) -> tuple[n
 
 
 def _losses(hashes: np.ndarray, ids: np.ndarray, group: np.ndarray, groups: int) -> Iterator[tuple[int, bytes]]:
-    """Rows (-1 - group, hashes of the windows that go, their ids) by group of documents; sorted by hash and id."""
-    order = np.argsort(group, kind="stable")
+    """Rows (-1 - key, windows that go) by group of documents modulo ``groups``; sorted by hash and id."""
+    key = group.astype(np.int64) % groups
+    order = np.argsort(key, kind="stable")
     hashes, ids, group = hashes[order], ids[order], group[order]
-    edges = sliced(group, groups)
-    for g in np.flatnonzero(np.diff(edges)):
-        a, z = edges[g], edges[g + 1]
-        low = int(ids[a:z].min())
-        yield -1 - int(g), low.to_bytes(8, "little", signed=True) + packed(hashes[a:z], (ids[a:z] - low).view(np.uint64))
+    for g, a, z in parts(key[order]):
+        yield -1 - g, _closed(hashes[a:z], ids[a:z], group[a:z])
+
+
+def _rows(found: Iterator[tuple[int, bytes]], apart: bool) -> Iterator[pa.RecordBatch]:
+    """Rows key, piece, body; losses of a range of groups, which are not compared, are kept ``apart`` by piece."""
 
+    def batch() -> pa.RecordBatch:
+        pieces = [crc32(b) >> 1 if apart and k < 0 else 0 for k, b in zip(keys, blobs)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.int32()), pa.array(pieces, pa.int32()), pa.array(blobs, pa.binary())], ["key", "piece", "body"]
+        )
 
-def _rows(found: Iterator[tuple[int, bytes]], key: str = "bucket") -> Iterator[pa.RecordBatch]:
     keys, blobs, size = [], [], 0
     for k, blob in found:
         keys.append(k)
         blobs.append(blob)
         size += len(blob)
         if size > 4 << 20:
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], [key, "body"])
+            yield batch()
             keys, blobs, size = [], [], 0
     if keys:
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], [key, "body"])
+        yield batch()
+
+
+ROW = "key int, piece int, body binary"
+
+
+def _dealt_again(sent: DataFrame, buckets: int, groups: int, losses: bool) -> DataFrame:
+    """Rows of a range of keys dealt to the buckets (or, of losses, groups) themselves, in bounded holds.
+
+    A task that held windows for millions of buckets would send each with a blob of its own. So it
+    sends to ``FAN`` ranges, and the tasks of these deal what they got to their part of the buckets.
+    """
+    wanted = -1 if losses else 1
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            columns = tuple(map(np.concatenate, zip(*held)))
+            yield from _rows(_losses(*_distinct(*columns), groups) if losses else _sent(*columns, buckets, groups), True)
+
+        for batch in batches:
+            for key, body in zip(batch.column(0).to_pylist(), batch.column(2)):
+                if (key < 0) != (wanted < 0):
+                    yield from _rows(iter([(key, body.as_py())]), True)
+                    continue
+                held.append(_opened(body.as_py()))
+                count += len(held[-1][0])
+                if count >= HELD_WINDOWS:
+                    yield from flush()
+                    held, count = [], 0
+        if count:
+            yield from flush()
+
+    return sent.repartition("key").mapInArrow(dealt, ROW)
 
 
 def repeated_windows(rows: DataFrame, k: int, buckets: int, groups: int) -> DataFrame:
-    """Windows whose words also start in a document with a smaller id: group, body (packed hashes and ids)."""
+    """Windows whose words also start in a document with a smaller id: group, body (packed hashes, ids, groups)."""
+    some_buckets, some_groups = min(buckets, rolling.FAN), min(groups, rolling.FAN)
+    apart = groups > some_groups
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -87,33 +137,32 @@ def repeated_windows(rows: DataFrame, k: int, buckets: int, groups: int) -> Data
                 held.append((hashes, ids[first:last][text], group[first:last][text]))
                 count += len(hashes)
                 if count >= HELD_WINDOWS:
-                    yield from _rows(_sent(*map(np.concatenate, zip(*held)), buckets, groups))
+                    yield from _rows(_sent(*map(np.concatenate, zip(*held)), some_buckets, some_groups), apart)
                     held, count = [], 0
         if count:
-            yield from _rows(_sent(*map(np.concatenate, zip(*held)), buckets, groups))
+            yield from _rows(_sent(*map(np.concatenate, zip(*held)), some_buckets, some_groups), apart)
 
     def compared(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
+        key = table.column("key")[0].as_py()
         bodies = [b.as_py() for b in table.column("body")]
-        if bucket < 0:  # lost in its own task: nothing to compare
-            found = [(bucket, b) for b in bodies]
+        if key < 0:  # lost in its own task: nothing to compare
+            found = [(key, b) for b in bodies]
         else:
-            parts = []
-            for body in bodies:
-                hashes, offset, group = unpacked(body[8:], 3)
-                low = np.int64(int.from_bytes(body[:8], "little", signed=True))
-                parts.append((hashes, offset.view(np.int64) + low, group.astype(np.uint32)))
-            hashes, ids, group = _distinct(*map(np.concatenate, zip(*parts)))
+            hashes, ids, group = _distinct(*map(np.concatenate, zip(*map(_opened, bodies))))
             starts = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
             least = np.repeat(np.minimum.reduceat(ids, starts), np.diff(np.r_[starts, len(ids)]))
             lost = ids > least
-            found = list(_losses(hashes[lost], ids[lost], group[lost], groups))
-        return pa.table({
-            "group": pa.array([-1 - b for b, _ in found], pa.int32()), "body": pa.array([b for _, b in found], pa.binary()),
-        })
+            found = list(_losses(hashes[lost], ids[lost], group[lost], some_groups))
+        none = [pa.RecordBatch.from_pylist([], ROWS)]
+        return pa.Table.from_batches(list(_rows(iter(found), apart)) or none, ROWS)
 
-    sent = rows.mapInArrow(hashed, "bucket int, body binary")
-    return sent.groupBy("bucket").applyInArrow(compared, "group int, body binary")
+    sent = rows.mapInArrow(hashed, ROW)
+    if buckets > some_buckets:
+        sent = _dealt_again(sent, buckets, some_groups, losses=False)
+    lost = sent.groupBy("key", "piece").applyInArrow(compared, ROW)
+    if groups > some_groups:
+        lost = _dealt_again(lost, buckets, groups, losses=True)
+    return lost.select((-1 - F.col("key")).alias("group"), "body")
 
 
 def intervals(places: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -141,7 +190,8 @@ def remove_repeats(
     Null text has no words. Rows without an id count as later than all others; neither they nor
     rows that share an id take anything from each other, whatever their texts. Losses are told
     apart by id and hash and looked up in each text's own windows. Rows are dealt to groups by id
-    and text, so only equal rows must meet. Other columns are not read.
+    and text, so only equal rows must meet. Buckets and groups grow with the input; a task deals to
+    ``rolling.FAN`` of them at the most and beyond that in two turns. Other columns are not read.
     """
     rows = narrowed(docs, id_col, text_col)
     size = text_bytes(rows)
@@ -151,12 +201,8 @@ def remove_repeats(
     lost = repeated_windows(rows, k, buckets, groups)
 
     def cut(key: tuple, texts: pa.Table, gone: pa.Table) -> pa.Table:
-        parts = []
-        for body in gone.column("body"):
-            blob = body.as_py()
-            hashes, offset = unpacked(blob[8:], 2)
-            parts.append((hashes, offset.view(np.int64) + np.int64(int.from_bytes(blob[:8], "little", signed=True))))
-        lost, ids = map(np.concatenate, zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        opened = [_opened(body.as_py())[:2] for body in gone.column("body")]
+        lost, ids = map(np.concatenate, zip(*opened)) if opened else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         order = np.lexsort((lost, ids))
         lost, ids = lost[order], ids[order]
         out: dict[str, list] = {"doc_id": [], "n_words": [], "removed": [], "kept": []}

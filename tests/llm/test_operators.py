@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (
     chat_format, common, components, decontamination, exact_dedup, jaccard_join, language_id, license_scan, line_dedup,
-    sentencepiece_bpe, substring_dedup, toxicity,
+    rolling, sentencepiece_bpe, substring_dedup, toxicity,
 )
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -167,6 +168,32 @@ def test_substring_dedup_spreads_rows_without_id(spark):
     assert max(r["count"] for r in dealt) < 300
 
 
+@pytest.mark.parametrize("held", [1, 4_000_000])
+def test_substring_dedup_dealt_in_two_turns(spark, texts, monkeypatch, held):
+    monkeypatch.setattr(rolling, "FAN", 5)
+    monkeypatch.setattr(substring_dedup, "HELD_WINDOWS", held)
+    rows = [*texts, texts[5], (None, texts[0][1]), (None, f"{texts[4][1]} end"), (-3, texts[6][1])]
+    found = substring_dedup.remove_repeats(frame(spark, rows)).collect()
+    mine = [(r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["removed"]), r["kept"]) for r in found]
+    assert sorted(mine, key=repr) == brute_windows(rows, 13)
+
+
+def test_a_hold_of_windows_costs_by_its_rows_not_by_the_buckets():
+    rng = np.random.default_rng(3)
+    hashes, ids = rng.integers(0, 1 << 63, 300).astype(np.uint64), np.arange(300, dtype=np.int64)
+    group = rng.integers(0, 1 << 30, 300).astype(np.uint32)
+    for work in (
+        lambda n: list(substring_dedup._sent(np.repeat(hashes, 2), np.r_[ids, ids], np.r_[group, group], n, n)),
+        lambda n: list(jaccard_join._by_group(ids, n, hashes)),
+    ):
+        times = []
+        for buckets in (100, 100_000, 2_000_000_000):
+            begun = time.perf_counter()
+            work(buckets)
+            times.append(time.perf_counter() - begun)
+        assert times[2] < 10 * times[1] + 0.1
+
+
 def brute_components(rows, k, percent):
     sets, parent = {}, {}
     for i, t in rows:
@@ -204,6 +231,17 @@ def test_jaccard_components(spark, texts, k, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute_components(rows, k, percent)
 
 
+def test_jaccard_components_dealt_in_two_turns(spark, texts, monkeypatch):
+    monkeypatch.setattr(rolling, "FAN", 5)
+    monkeypatch.setattr(jaccard_join, "HELD_TOKENS", 500)
+    rows = [*texts, (9, texts[2][1])]
+    found = jaccard_join.jaccard_components(frame(spark, [*rows, (None, "one two"), (None, "one two three")]), k=3, percent=90)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.where("doc_id is not null").collect()} == (
+        brute_components(rows, 3, 90)
+    )
+    assert found.where("doc_id is null and component_id is null").count() == 2
+
+
 def test_jaccard_rows_without_id_and_repeated_rows(spark, texts):
     rows = [*texts[:4], texts[0], (None, texts[0][1])]
     found = jaccard_join.jaccard_components(frame(spark, rows)).collect()
