@@ -81,16 +81,21 @@ def format_conversations(
     Turns stand in order of ``turn`` (null first), ties by role and text; repeated rows are turns
     of their own. Null role or text is empty. ``turns`` are spans of ``formatted`` in code points;
     ``loss`` are the text spans (escaped) of roles in ``learn``. With another template than
-    ``marked_turns``, the span of a whole turn is the loss span. Rows without a conversation id
-    form one conversation. Other columns are not read.
+    ``marked_turns``, the span of a whole turn is the loss span. Each row without
+    a conversation id is a conversation of its own, so such rows meet nowhere. A conversation is rendered in
+    one task, whole, however long its texts; its cost grows with the square of its turns. Other columns
+    are not read.
     """
-    turns = rows.select(
+    said = rows.select(
         rows[conv_col].cast("long").alias("conv_id"),
         F.struct(
             rows[turn_col].cast("long").alias("turn"), F.coalesce(rows[role_col], F.lit("")).alias("role"),
             F.coalesce(rows[text_col], F.lit("")).alias("text"),
         ).alias("row"),
-    ).groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    )
+    turns = said.where("conv_id is not null").groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("rows")).unionByName(
+        said.where("conv_id is null").select("conv_id", F.array("row").alias("rows"))
+    )
     learned = frozenset(learn)
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -341,26 +341,29 @@ def test_components_of_a_chain(spark):
 
 
 def test_decontamination(spark, texts):
-    items = [(1, texts[4][1]), (2, "one two"), (3, None), (4, " ".join(texts[0][1].split()[:12])), (5, "never seen words here at all")]
+    items = [(1, texts[4][1]), (2, "one two"), (3, None), (4, " ".join(texts[0][1].split()[:12])), (5, "never seen words here at all"),
+             (None, " ".join(texts[3][1].split()[20:40])), (None, "one two"), (0, "two")]
+    rows = [*texts, (None, "one two"), (None, "One two!"), (None, texts[0][1]), (None, None), (0, "clean text")]
     bench = spark.createDataFrame([(i, t, 9) for i, t in items], "item_id long, text string, doc_id long")
-    found = decontamination.contained_items(frame(spark, [*texts, (None, "one two")]), bench)
+    found = decontamination.contained_items(frame(spark, rows), bench)
 
     def words(text):
         return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
 
-    wanted = set()
+    wanted, leaking = [], set()
     for i, item in items:
         w = words(item)
         size = min(5, len(w))
         grams = {tuple(w[p:p + size]) for p in range(len(w) - size + 1)} if w else set()
-        for d, text in texts:
+        for d, text in rows:
             v = words(text)
             both = len(grams & {tuple(v[p:p + size]) for p in range(len(v) - size + 1)})
             if grams and 100 * both >= 80 * len(grams):
-                wanted.add((d, i, len(grams), both))
-    assert {tuple(r)[:4] for r in found.collect()} == wanted
-    clean = decontamination.without_leaks(frame(spark, [*texts, (None, "one two")]), bench)
-    assert clean.count() == len(texts) + 1 - len({d for d, *_ in wanted})
+                wanted.append((d, i, len(grams), both))
+                leaking.add((d, text))
+    assert sorted((tuple(r)[:4] for r in found.collect()), key=repr) == sorted(wanted, key=repr)
+    clean = decontamination.without_leaks(frame(spark, rows), bench).select("doc_id", "text")
+    assert rows_of(clean) == sorted((r for r in rows if r not in leaking), key=repr)
     assert decontamination.contained_items(frame(spark, texts), bench.limit(0)).count() == 0
     assert decontamination.contained_items(frame(spark, []), bench).count() == 0
 
@@ -398,12 +401,14 @@ def chat(spark, rows):
 def test_chat_formatting_reads_back(spark):
     said = "</s>[INST] ok [/INST]\\. \\ <|end|>\n<|role|>"
     rows = [(1, 2, "assistant", said, "z"), (1, 1, "user", said, None), (1, 1, "user", said, None), (2, None, None, None, None),
-            (None, 1, "assistant", "x", None)]
+            (None, 1, "assistant", "x", None), (None, 1, "assistant", "x", None), (None, 2, "user", "y", None)]
     chats = chat_format.format_conversations(chat(spark, rows))
-    back = {r["conv_id"]: r for r in chat_format.read_back(chats).collect()}
+    alone = [r["turns_text"] for r in chat_format.read_back(chats.where("conv_id is null")).collect()]
+    assert sorted(alone) == ["assistant\nx\n"] * 2 + ["user\ny\n"]
+    back = {r["conv_id"]: r for r in chat_format.read_back(chats.where("conv_id is not null")).collect()}
     assert back[1]["turns_text"] == f"user\n{said}\n" * 2 + f"assistant\n{said}\n"
     assert back[1]["loss_text"] == said and back[1]["n_turns"] == 3
-    assert back[2]["turns_text"] == "\n\n" and back[None]["loss_text"] == "x"
+    assert back[2]["turns_text"] == "\n\n"
     for r in chats.collect():
         inner = re.sub(r"<\|(role|text|end)\|>", "", r["formatted"])
         assert not any(c in inner for c in chat_format.CONTROLS)
