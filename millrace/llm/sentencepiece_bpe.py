@@ -73,7 +73,7 @@ class Encoder:
         self.v = vocabulary
         self.matcher = ahocorasick.Automaton()
         for piece in vocabulary.ids:
-            self.matcher.add_word(piece, piece)
+            self.matcher.add_word(piece, (len(piece) - 1, piece))
         self.matcher.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
         self.sound: dict[str, bool] = {}
@@ -119,22 +119,28 @@ class Encoder:
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text all of whose characters are pieces."""
-        longest: list[str] = [""] * len(text)
-        for last, piece in self.matcher.iter(text):
-            first = last - len(piece) + 1
-            if len(piece) > len(longest[first]):
-                longest[first] = piece
-        failed = bytearray(len(text) // 8 + 1)
+        size, known = len(text), self.pairs.get
+        longest: list[str] = [""] * size
+        for last, (back, piece) in self.matcher.iter(text):  # by rising end: of one start the longest comes last
+            longest[last - back] = piece
+        failed = bytearray(size // 8 + 1)
         found: list[str] = []
-        at, piece = 0, longest[0]
-        while at < len(text):
+        at, piece, left = 0, longest[0], ""
+        while at < size:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and self.whole(piece) and (not found or self.fit(found[-1], piece)):
-                found.append(piece)
-                at = end
-                if at < len(text):
-                    piece = longest[at]
-                continue
+            if not failed[end >> 3] >> (end & 7) & 1:
+                if not left:
+                    fits = self.whole(piece)
+                else:  # two pieces that stay apart are each whole
+                    fits = known((left, piece))
+                    if fits is None:
+                        fits = self.fit(left, piece)
+                if fits:
+                    found.append(piece)
+                    at, left = end, piece
+                    if at < size:
+                        piece = longest[at]
+                    continue
             less = self.shorter(piece)
             if less is not None:
                 piece = less
@@ -144,6 +150,7 @@ class Encoder:
             failed[at >> 3] |= 1 << (at & 7)
             piece = found.pop()
             at -= len(piece)
+            left = found[-1] if found else ""
         return found
 
     def chunk_ids(self, chunk: str) -> list[int]:
@@ -164,7 +171,7 @@ class KeptWords(dict):
         self.encoder, self.lead = encoder, lead
 
     def __missing__(self, word: str) -> bytes:
-        packed = np.array(self.encoder.chunk_ids(self.lead + word), "<u4").tobytes()
+        packed = array("I", self.encoder.chunk_ids(self.lead + word)).tobytes()
         if len(word) <= KEPT_CHARS:
             if len(self) >= KEPT_WORDS:
                 self.clear()
