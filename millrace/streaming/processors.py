@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -78,34 +80,31 @@ class DailyFirst(StatefulProcessor):
 
 
 class Runs(StatefulProcessor):
-    """Decides entry events of one (key, time slice) once the limit after them has passed.
+    """Decides entry events of the visitors of one (bucket, time slice) once the limit after them has passed.
 
     An automaton of ``n`` states walks over what follows an entry: an entry in time takes it one
     state on, the last is a match; the limit or the end of the rows before that is a timeout, and any
     other event ends it without outcome.
 
-    State holds the rows that can still matter: undecided entries and what follows
+    State holds the rows that can still matter, packed: undecided entries and what follows
     them.  A slice ends, so its state empties as the watermark moves on.
     """
 
     def __init__(self, ties, within_ms, n=2):
-        self._ties = ties
+        self._ties = [name for name, _ in ties]
         self._within = within_ms
         self._n = n
 
     def init(self, handle):
         self._handle = handle
-        ties = "".join(f"{name} {kind}, " for name, kind in self._ties)
-        layout = f"ts bigint, {ties}start boolean, body string"
-        self._rows = handle.getListState("rows", layout)
+        self._rows = handle.getListState("rows", "packed binary")
 
     def handleInputRows(self, key, rows, timerValues):
         earliest = None
-        columns = ["ts", *[name for name, _ in self._ties], "start", "body"]
         for frame in rows:
-            frame = frame[columns].astype({"body": object})
-            frame["body"] = frame["body"].where(frame["body"].notna(), None)
-            self._rows.appendList(list(frame.itertuples(index=False, name=None)))
+            if frame.empty:
+                continue
+            self._rows.appendValue((_pack(frame[["mid", "ts", *self._ties, "start", "body"]]),))
             low = int(frame["ts"].min())
             earliest = low if earliest is None else min(earliest, low)
         if earliest is not None:
@@ -114,37 +113,55 @@ class Runs(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs()
-        ties = len(self._ties)
-        rows = sorted(self._rows.get(), key=lambda r: tuple(r[: ties + 1]))
-        kept, found = [], []
-        for i, row in enumerate(rows):
-            if row[-1] is not None and row[0] + self._within <= watermark:
-                outcome = self._outcome(row, rows[i + 1:i + self._n])
-                if outcome:
-                    found.append((row[-1], outcome))
-                row = (*row[:-1], None)
-            kept.append(tuple(row))
-        open_from = min([r[0] for r in kept if r[-1] is not None], default=watermark)
-        kept = [r for r in kept if r[0] >= min(open_from, watermark)]
-        if kept:
-            self._rows.put(kept)
-            self._handle.registerTimer(max(kept[0][0] + self._within, watermark + 1))
+        packed = [_unpack(row[0]) for row in self._rows.get()]
+        if not packed:
+            return
+        rows = pd.concat(packed, ignore_index=True)
+        rows["visitor"] = pd.factorize(rows["mid"], use_na_sentinel=False)[0]
+        rows = rows.sort_values(["visitor", "ts", *self._ties], na_position="first", ignore_index=True)
+        visitor, ts = rows["visitor"].to_numpy(), rows["ts"].to_numpy()
+        undecided = rows["body"].notna().to_numpy()
+        due = undecided & (ts + self._within <= watermark)
+        outcome = self._outcomes(visitor, ts, rows["start"].to_numpy(dtype=bool))
+        found = due & (outcome != "")
+        if found.any():
+            yield pd.DataFrame({"body": rows["body"].to_numpy()[found], "outcome": outcome[found]})
+        open_from = np.full(visitor.max() + 1, watermark, np.int64)
+        still = undecided & ~due
+        np.minimum.at(open_from, visitor[still], ts[still])
+        rows["body"] = rows["body"].astype(object).where(still, None)
+        kept = rows[ts >= open_from[visitor]].drop(columns="visitor")
+        if len(kept):
+            self._rows.put([(_pack(kept),)])
+            self._handle.registerTimer(max(int(kept["ts"].min()) + self._within, watermark + 1))
         else:
             self._rows.clear()
-        if found:
-            yield pd.DataFrame(found, columns=["body", "outcome"])
 
-    def _outcome(self, entry, following):
-        for later in following:
-            if later[0] - entry[0] >= self._within:
-                return "timeout"
-            if not later[-2]:
-                return None
-        return "match" if len(following) == self._n - 1 else "timeout"
+    def _outcomes(self, visitor, ts, start):
+        """What became of each row by those after it; empty where another event ended it."""
+        outcome = np.full(len(ts), "match", object)
+        for step in range(self._n - 1, 0, -1):
+            in_time, again = np.zeros(len(ts), bool), np.zeros(len(ts), bool)
+            in_time[:-step] = (visitor[step:] == visitor[:-step]) & (ts[step:] - ts[:-step] < self._within)
+            again[:-step] = start[step:]
+            outcome = np.where(~in_time, "timeout", np.where(again, outcome, ""))
+        return outcome
 
     def close(self):
         pass
 
 
+def _pack(frame):
+    batch = pa.RecordBatch.from_pandas(frame, preserve_index=False)
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _unpack(packed):
+    return pa.ipc.open_stream(packed).read_all().to_pandas()
+
+
 # Python workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -14,6 +14,8 @@ from millrace.streaming.processors import DailyFirst, FirstClaim, Runs
 
 DAY_MS = 24 * 60 * 60 * 1000
 NO_TIME = -(2**63)
+#: Visitors share the state of a time slice in so many buckets.
+BUCKETS = 1024
 
 # Keep microseconds when a record travels as text.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -155,12 +157,15 @@ def consecutive_match_stream(
     ts: str = "ts",
     tiebreak: Sequence[str] = ("seq",),
     slice_ms: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Entry pages opening a run of ``n`` strictly consecutive ones, or running out of time before.
 
     The stream form of ``jumps.consecutive_match``; an entry is decided once the watermark is past its
-    limit.  State is kept per (visitor, time slice) with the batch form's read-ahead, so a
-    replayed backlog of one visitor spreads over its slices.
+    limit.  State is kept per (bucket of visitors, time slice) with the batch form's read-ahead, so a
+    replayed backlog of one visitor spreads over its slices, and a call of the state program serves
+    all of a bucket's visitors.  ``buckets`` bounds the number of calls: raise it where a bucket's rows of a
+    slice are too many for one task.
     """
     width = max(slice_ms or within_ms * SLICES_PER_LIMIT, within_ms)
     own = time_slice(F.col("ts"), width)
@@ -172,8 +177,11 @@ def consecutive_match_stream(
     ahead = F.pmod(F.col("ts"), F.lit(width)) < within_ms
     sliced = flat.withColumn(
         "slice", F.explode(F.when(ahead, F.array(own, own - 1)).otherwise(F.array(own)))
-    ).withColumn("body", F.when(F.col("slice") == own, F.col("body")))
-    out = sliced.groupBy("mid", "slice").transformWithStateInPandas(
+    ).withColumns({
+        "body": F.when(F.col("slice") == own, F.col("body")),
+        "bucket": F.pmod(F.xxhash64("mid"), F.lit(buckets)),
+    })
+    out = sliced.groupBy("bucket", "slice").transformWithStateInPandas(
         Runs(ties, within_ms, n), "body string, outcome string", "append", "eventTime"
     )
     return _restore(out, pages, "outcome")
