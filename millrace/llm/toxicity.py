@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,8 @@ GRAMS = (3, 4, 5)
 #: Word scores kept by a Python worker; the store is emptied when it is full.
 KEPT_WORDS = 300_000
 KEPT_CHARS = 48
+#: Words whose buckets are kept while the driver turns the sample into bags.
+TRAINING_WORDS = 20_000
 
 
 def subwords(word: str) -> list[int]:
@@ -32,14 +35,52 @@ def subwords(word: str) -> list[int]:
     return [zlib.crc32(g.encode()) % BUCKETS for g in (marked, *grams)]
 
 
-def bag(text: str, known: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The text's buckets and how often it has each; ``known`` keeps the buckets of words."""
-    parts = []
-    for word in WORD.findall(text.lower()):
-        if word not in known:
-            known[word] = np.array(subwords(word), np.int32)
-        parts.append(known[word])
-    return np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.int32),) * 2
+class WordBuckets(dict):
+    """Word -> buckets of its subwords; holds a bounded number of words."""
+
+    def __missing__(self, word: str) -> np.ndarray:
+        found = np.array(subwords(word), np.uint16)
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= TRAINING_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
+@dataclass
+class Bags:
+    """Texts one behind another: their buckets, how often each has them, and where each text begins (one more entry)."""
+
+    index: array = field(default_factory=lambda: array("H"))
+    count: array = field(default_factory=lambda: array("i"))
+    first: list[int] = field(default_factory=lambda: [0])
+
+    def add(self, text: str, known: WordBuckets) -> None:
+        parts = list(map(known.__getitem__, WORD.findall(text.lower())))
+        if parts:
+            index, count = np.unique(np.concatenate(parts), return_counts=True)
+            self.index.frombytes(index.tobytes())
+            self.count.frombytes(count.astype(np.int32).tobytes())
+        self.first.append(len(self.index))
+
+    def shares(self, min_texts: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Buckets, their share of the text and where texts begin, for buckets found in at least ``min_texts`` texts.
+
+        Written over the bags, which are used up.
+        """
+        index, count, ends = np.asarray(self.index), np.asarray(self.count), list(zip(self.first, self.first[1:]))
+        share = count.view(np.float32)
+        spread = np.zeros(BUCKETS, np.int64)
+        for a, z in ends:
+            spread[index[a:z]] += 1
+        common = spread >= min_texts
+        first = [0]
+        for a, z in ends:
+            kept = common[index[a:z]]
+            some, part = index[a:z][kept], count[a:z][kept] / max(1, count[a:z].sum())
+            first.append(first[-1] + len(some))
+            index[first[-2]:first[-1]], share[first[-2]:first[-1]] = some, part
+        return index, share, first
 
 
 @dataclass
@@ -55,9 +96,9 @@ class Model:
         return self.embeddings @ (self.weights[1] - self.weights[0])
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 6, batch: int = 64, rate: float = 0.03,
+def fit(bags: Bags, labels: list[int], epochs: int = 6, batch: int = 64, rate: float = 0.03,
         min_texts: int = 8, seed: int = 7) -> Model:
-    """Embeddings and softmax together by Adam; both classes weigh the same.
+    """Embeddings and softmax together by Adam, from the texts' bags; both classes weigh the same.
 
     Buckets found in fewer than ``min_texts`` texts keep a zero embedding.
     """
@@ -68,25 +109,16 @@ def fit(texts: list[str], labels: list[int], epochs: int = 6, batch: int = 64, r
     y = np.array(labels, np.int64)
     share = np.bincount(y, minlength=2) / max(1, len(y))
     weight = np.where(y == 1, 0.5 / max(share[1], 1e-9), 0.5 / max(share[0], 1e-9)).astype(np.float32)
-    known: dict[str, np.ndarray] = {}
-    bags = [bag(text, known) for text in texts]
-    spread = np.zeros(BUCKETS, np.int64)
-    for index, _ in bags:
-        spread[index] += 1
-    common = spread >= min_texts
-    rows = [
-        (index[common[index]], (count[common[index]] / max(1, count.sum())).astype(np.float32)) for index, count in bags
-    ]
-    del bags, known
+    buckets, shares, first = bags.shares(min_texts)
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (e, w, bias)]
     steps = 0
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(y))
         for at in range(0, len(order), batch):
             part = order[at:at + batch]
-            index = np.concatenate([rows[i][0] for i in part])
-            value = np.concatenate([rows[i][1] for i in part])
-            owner = np.repeat(np.arange(len(part)), [len(rows[i][0]) for i in part])
+            index = np.concatenate([buckets[first[i]:first[i + 1]] for i in part])
+            value = np.concatenate([shares[first[i]:first[i + 1]] for i in part])
+            owner = np.repeat(np.arange(len(part)), [first[i + 1] - first[i] for i in part])
             gathered = e[index] * value[:, None]
             mean = np.stack([np.bincount(owner, gathered[:, d], len(part)) for d in range(DIM)], 1)
             logit = mean @ w.T + bias
@@ -140,7 +172,8 @@ def train(
 
     Of the rows that ``chosen`` (over ``doc_id``) allows, with a label and 1 to ``max_chars``
     characters, each class gives the ``texts_per_class`` ones with the smallest hash of the id. Ids
-    whose labels contradict each other are left out.
+    whose labels contradict each other are left out. The driver takes the sample text by text and
+    keeps bags of buckets only.
     """
     marked = labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label")).where(
         "doc_id is not null and label in (0, 1)"
@@ -149,15 +182,14 @@ def train(
         "text is not null and text != ''"
     ).where(F.length("text") <= max_chars)
     usable = written(marked.join(rows.select("doc_id").distinct(), "doc_id").select("doc_id", "label"), "labelled-ids")
-    ids = [tuple(r) for r in smallest_hashes(usable, "label", "doc_id", texts_per_class).collect()]
-    if not ids:
-        return None
-    label = dict(ids)
-    sample = {}
-    for r in rows.where(F.col("doc_id").isin(list(label))).toLocalIterator():
-        sample[r["doc_id"], r["text"]] = label[r["doc_id"]]
-    keys = sorted(sample)
-    return fit([text for _, text in keys], [sample[k] for k in keys], **options)
+    wanted = smallest_hashes(usable, "label", "doc_id", texts_per_class)
+    sample = written(rows.join(F.broadcast(wanted), "doc_id").distinct(), "labelled-texts")
+    known, bags, label = WordBuckets(), Bags(), []
+    for r in sample.orderBy("doc_id", "text").toLocalIterator():  # the texts themselves are not kept
+        bags.add(r["text"], known)
+        label.append(r["label"])
+    del known
+    return fit(bags, label, **options) if label else None
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

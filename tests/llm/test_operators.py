@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -488,6 +489,25 @@ def test_toxicity(spark):
     assert toxicity.score(frame(spark, []), model).count() == 0
 
 
+def test_toxicity_training_keeps_bags_only(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(1200)) for _ in range(80)]
+    docs = frame(spark, list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "TRAINING_WORDS", 1000, raising=False)
+    tracemalloc.start()
+    try:
+        model = toxicity.train(docs, labels, F.lit(True), epochs=1, batch=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30e6
+    monkeypatch.undo()
+    # Rows that come twice, their order and the bound on kept words change nothing.
+    again = toxicity.train(docs.unionByName(docs).repartition(5), labels, F.lit(True), epochs=1, batch=2)
+    assert (again.embeddings == model.embeddings).all() and (again.weights == model.weights).all() and again.bias == model.bias
+
+
 def test_language_id(spark):
     rng = random.Random(4)
     sound = {"de": "sch ung ein ver heit keit ö ü".split(), "es": "ción mente que los ó ñ ado arr".split()}
