@@ -1,4 +1,4 @@
-"""What executors hold at a time."""
+"""What executors hold at a time: changes being routed, state stores, wide orders."""
 
 import pytest
 from test_jobs import change, drain, get, put, rule, topics  # noqa: F401
@@ -7,6 +7,9 @@ from test_orders import dims
 from millrace.functions.records import to_lines
 from millrace.jobs import changes
 from millrace.jobs import orders as order_jobs
+from millrace.streaming.runner import STATE_MEMORY, query_conf, run_to_table, start_batches
+
+BOUNDED, AT_MOST = STATE_MEMORY
 
 
 @pytest.fixture
@@ -34,6 +37,19 @@ def test_routing_keeps_only_what_tables_need(spark, topics, tmp_path, kept, with
         assert [tuple(r) for r in table.read().collect()] == [("2", "n")]
 
 
+@pytest.mark.parametrize("own", [None, "64"])
+def test_state_stores_share_memory_unless_told_otherwise(spark, tmp_path, own):
+    spark.range(4).write.parquet(str(tmp_path / "in"))
+    rows = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in")).dropDuplicates(["id"])
+    found = []
+    write = lambda batch, n: found.append((batch.count(), *[batch.sparkSession.conf.get(k, None) for k in (BOUNDED, AT_MOST)]))
+    with query_conf(spark, {AT_MOST: own} if own else {}):
+        start_batches(rows, write, str(tmp_path / "ck"), {"availableNow": True}).awaitTermination()
+        assert run_to_table(rows, "bounded").count() == 4
+    assert found[0] == (4, "true", own or STATE_MEMORY[AT_MOST])
+    assert spark.conf.get(BOUNDED, None) is None and spark.conf.get(AT_MOST, None) is None
+
+
 def test_wide_orders_are_not_joined_and_written_as_text_by_one_method(spark, topics, tmp_path, monkeypatch):  # noqa: F811
     at = lambda s: f"2020-01-01 08:00:{s:02d}"
     put(topics, "dwd_order_info", {"id": 1, "province_id": 3, "user_id": 9, "create_time": at(10)})
